@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -21,19 +23,17 @@ class NaiveBayes:
         model = self.table.agg(
             F.array_sort(F.collect_list(F.struct("class", "log_prior", "log_shares")))
         ).scalar()
-        x = F.array(*(F.col(name).cast("double") for name in self.features))
-        scores = F.transform(
-            "model",
-            lambda c: F.aggregate(
-                F.zip_with("x", c["log_shares"], lambda v, w: v * w),
-                c["log_prior"],
-                lambda total, term: total + term,
-            ),
-        )
+        inputs = [F.col(name).cast("double") for name in self.features]
+        names = [f"x{j}" for j in range(len(inputs))]
+
+        def class_score(c: Column) -> Column:
+            terms = [F.col(name) * c["log_shares"][j] for j, name in enumerate(names)]
+            return reduce(add, terms, c["log_prior"])
+
         scored = (
-            df.select(*kept, x.alias("x"))
+            df.select(*kept, *(x.alias(name) for x, name in zip(inputs, names)))
             .withColumn("model", model)
-            .withColumn("scores", scores)
+            .withColumn("scores", F.transform("model", class_score))
             .withColumn("top", F.array_max("scores"))
             .withColumn("shares", F.transform("scores", lambda s: F.exp(s - F.col("top"))))
             .withColumn("total", F.aggregate("shares", F.lit(0.0), lambda total, s: total + s))

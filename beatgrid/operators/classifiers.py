@@ -41,7 +41,11 @@ def training_rows(df: DataFrame, features: Sequence[str], label: str, classes: S
 def random_forest(
     trees: int = 700, depth: int = 13, features: str = "sqrt", min_leaf: int = 1, seed: int = 10
 ) -> RandomForestClassifier:
-    """Random forest. Row-to-node ids are kept with the rows, so deep forests are not sent around."""
+    """Random forest.
+
+    Row-to-node ids are kept with the rows, so deep forests are not sent around, and the memory for
+    node statistics is raised, so that more nodes are split in one pass over the rows.
+    """
     return RandomForestClassifier(
         numTrees=trees,
         maxDepth=depth,
@@ -49,6 +53,7 @@ def random_forest(
         minInstancesPerNode=min_leaf,
         seed=seed,
         cacheNodeIds=True,
+        maxMemoryInMB=1024,
         checkpointInterval=10,
     )
 

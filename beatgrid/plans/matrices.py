@@ -16,6 +16,8 @@ LABEL = "Category_New"
 KEY = "PdId"
 PREFIXES = {"Season": "season", "PdDistrict": "pdDist", "DayOfWeek": "day"}
 
+ROWS_PER_TASK = 10_000
+
 
 @dataclass(frozen=True)
 class Matrices:
@@ -29,13 +31,23 @@ class Matrices:
     def stored(self) -> Matrices:
         """The same rows as tables, for fits that pass over them many times."""
         return Matrices(
-            materialize(self.train, "matrix-train"),
-            materialize(self.test, "matrix-test"),
-            self.features,
-            self.classes,
+            _stored(self.train, "matrix-train"), _stored(self.test, "matrix-test"), self.features, self.classes
         )
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """A table with work for every core; only one in few files is written again.
+
+    Fits pass over their rows hundreds of times, so idle cores cost more than the second writing.
+    """
+    table = materialize(df, name)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if table.rdd.getNumPartitions() >= cores:
+        return table
+    tasks = min(cores, table.count() // ROWS_PER_TASK)
+    return materialize(table.repartition(tasks), name) if tasks > 1 else table
+
+
 def _matrices(encode, train: DataFrame, test: DataFrame, dropped: tuple[str, ...], classes: list[str]) -> Matrices:
     encoded = encode(train)
     features = [name for name in encoded.columns if name not in dropped]

@@ -421,6 +421,12 @@ def _absolute(data: Matrices) -> Matrices:
     return Matrices(data.train.withColumns(positive), data.test.withColumns(positive), data.features, data.classes)
 
 
+def _scaled(data: Matrices) -> Matrices:
+    """All features scaled by the training rows."""
+    train, test = (encode.standard_scale(data.train, part, *data.features) for part in (data.train, data.test))
+    return Matrices(train, test, data.features, data.classes)
+
+
 @query
 def naive_bayes(spark: SparkSession, folder: str) -> DataFrame:
     data = _absolute(_label_encoded(spark, folder))
@@ -452,6 +458,13 @@ def rf_proba(spark: SparkSession, folder: str) -> DataFrame:
     return _long(_predicted(classifiers.random_forest(trees=20, depth=8).fit(_fit_rows(data)), data))
 
 
+@query
+def rf_proba_log2(spark: SparkSession, folder: str) -> DataFrame:
+    data = _stored(spark, folder)
+    forest = classifiers.random_forest(trees=100, depth=11, features="log2")
+    return _long(_predicted(forest.fit(_fit_rows(data)), data))
+
+
 @query
 def rf_proba_one_hot(spark: SparkSession, folder: str) -> DataFrame:
     data = one_hot_matrices(*_split(spark, folder)).stored()
@@ -517,14 +530,7 @@ def pca_forest(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def mlp_proba(spark: SparkSession, folder: str) -> DataFrame:
-    train, test = _split(spark, folder)
-    data = label_encoded_matrices(train, test)
-    scaled = Matrices(
-        encode.standard_scale(data.train, data.train, *data.features),
-        encode.standard_scale(data.train, data.test, *data.features),
-        data.features,
-        data.classes,
-    ).stored()
+    scaled = _scaled(_stored(spark, folder)).stored()
     network = classifiers.perceptron(len(scaled.features), len(scaled.classes))
     return _long(_predicted(network.fit(_fit_rows(scaled)), scaled))
 
@@ -545,13 +551,7 @@ def stump_boosting_proba(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def svm_ovr(spark: SparkSession, folder: str) -> DataFrame:
-    data = _label_encoded(spark, folder)
-    scaled = Matrices(
-        encode.standard_scale(data.train, data.train, *data.features),
-        encode.standard_scale(data.train, data.test, *data.features),
-        data.features,
-        data.classes,
-    ).stored()
+    scaled = _scaled(_stored(spark, folder)).stored()
     model = kernel_svm.fit_kernel_svm(
         scaled.train, scaled.features, LABEL, scaled.classes, scaled.train.count(), iterations=20
     )
