@@ -80,7 +80,7 @@ def fit_kernel_svm(
     iterations: int = 300,
     outputs: int = 128,
     seed: int = 10,
-    parallelism: int = 4,
+    parallelism: int = 8,
 ) -> KernelSVM:
     """Fit on the features as given (scale them first); ``c`` weighs the summed loss, Spark averages it."""
     projection = fourier_features(len(features), outputs, seed=seed)

@@ -13,17 +13,18 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    A temporary folder stands in for it only where the setting is missing and the master is local
-    (tests, laptops); on a cluster a missing setting is an error rather than a machine-local folder.
+    A session without that setting may have named a checkpoint folder itself. Where there is neither,
+    a temporary folder stands in for it on a local master only (tests, laptops); on a cluster that is
+    an error rather than a machine-local folder.
     """
-    folder = spark.conf.get(CHECKPOINT_DIR, None)
+    context = spark.sparkContext
+    folder = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="beatgrid-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="beatgrid-"))
+    return context.getCheckpointDir()
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
