@@ -10,6 +10,8 @@ from operator import add
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from beatgrid.session import materialize
+
 
 @dataclass(frozen=True)
 class NaiveBayes:
@@ -48,11 +50,12 @@ class NaiveBayes:
 def fit_naive_bayes(
     train: DataFrame, features: Sequence[str], label: str, smoothing: float = 0.01
 ) -> NaiveBayes:
-    """Fit on non-negative features; the class shares themselves are not smoothed."""
+    """Fit on non-negative features in one pass; the class shares themselves are not smoothed."""
     sums = train.groupBy(F.col(label).alias("class")).agg(
         F.count(F.lit(1)).alias("rows"), F.array(*(F.sum(name).cast("double") for name in features)).alias("sums")
     )
-    all_rows = train.agg(F.count(F.lit(1))).scalar()
+    sums = materialize(sums, "bayes-sums")
+    all_rows = sums.agg(F.sum("rows")).scalar()
     total = F.aggregate("sums", F.lit(0.0), lambda t, s: t + s) + F.lit(smoothing * len(features))
     table = (
         sums.withColumn("total", total)

@@ -36,16 +36,13 @@ class Matrices:
 
 
 def _stored(df: DataFrame, name: str) -> DataFrame:
-    """A table with work for every core; only one in few files is written again.
-
-    Fits pass over their rows hundreds of times, so idle cores cost more than the second writing.
-    """
+    """A table read with work for every core, although a small one lies in few files."""
     table = materialize(df, name)
     cores = df.sparkSession.sparkContext.defaultParallelism
     if table.rdd.getNumPartitions() >= cores:
         return table
     tasks = min(cores, table.count() // ROWS_PER_TASK)
-    return materialize(table.repartition(tasks), name) if tasks > 1 else table
+    return table.repartition(tasks) if tasks > 1 else table
 
 
 def _matrices(encode, train: DataFrame, test: DataFrame, dropped: tuple[str, ...], classes: list[str]) -> Matrices:

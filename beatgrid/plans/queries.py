@@ -17,10 +17,10 @@ from beatgrid.operators.bayes import fit_naive_bayes
 from beatgrid.operators.density import kernel_density
 from beatgrid.operators.neighbours import knn_proba
 from beatgrid.operators.profile import fit_profile
-from beatgrid.plans.features import add_features, build_features, decompose_dates
+from beatgrid.plans.features import REQUIRED, add_features, build_features, decompose_dates
 from beatgrid.plans.matrices import KEY, LABEL, Matrices, label_encoded_matrices, one_hot_matrices
 from beatgrid.schemas import FEATURES, RAW_INCIDENTS
-from beatgrid.session import fresh_path
+from beatgrid.session import fresh_path, materialize
 from beatgrid.sources.delimited import read_csv, read_well_formed_csv, write_csv
 from beatgrid.sources.incidents import LAST_TRAIN_YEAR, incidents
 from beatgrid.sources.jsonlines import rows_to_json
@@ -150,8 +150,8 @@ def temporal_split(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def drop_null_rows(spark: SparkSession, folder: str) -> DataFrame:
-    kept = columns.drop_columns(add_features(_decomposed(spark, folder)), columns.NOT_FEATURES)
-    return rows.drop_null_rows(kept).select("PdId", "Category_New", "GridNo", "Y")
+    complete = rows.drop_null_rows(_decomposed(spark, folder), *REQUIRED)
+    return add_features(complete).select("PdId", "Category_New", "GridNo", "Y")
 
 
 @query
@@ -375,6 +375,10 @@ def _label_encoded(spark: SparkSession, folder: str) -> Matrices:
     return label_encoded_matrices(*_split(spark, folder))
 
 
+def _stored(spark: SparkSession, folder: str) -> Matrices:
+    return _label_encoded(spark, folder).stored()
+
+
 @query
 def model_matrix(spark: SparkSession, folder: str) -> DataFrame:
     """Features and label of the training rows, element by element."""
@@ -388,12 +392,12 @@ def model_matrix(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def kde(spark: SparkSession, folder: str) -> DataFrame:
     """Density curves before and after scaling."""
-    data = _label_encoded(spark, folder)
     names = ("DayOfWeek", "Hour", "Month")
-    scaled = encode.standard_scale(data.train, data.train, *names)
+    train = materialize(_label_encoded(spark, folder).train.select(*names), "kde-columns")
+    scaled = encode.standard_scale(train, train, *names)
     curves = [
         kernel_density(part, *names).withColumn("stage", F.lit(stage))
-        for stage, part in (("before", data.train), ("after", scaled))
+        for stage, part in (("before", train), ("after", scaled))
     ]
     return curves[0].unionByName(curves[1]).select(
         "stage", "feature", "point", _rounded("x").alias("x"), _rounded("density").alias("density")
@@ -403,10 +407,6 @@ def kde(spark: SparkSession, folder: str) -> DataFrame:
 # Models and evaluation
 
 
-def _stored(spark: SparkSession, folder: str) -> Matrices:
-    return _label_encoded(spark, folder).stored()
-
-
 def _fit_rows(data: Matrices) -> DataFrame:
     return classifiers.training_rows(data.train, data.features, LABEL, data.classes)
 
