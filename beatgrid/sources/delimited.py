@@ -10,10 +10,14 @@ CORRUPT = "_corrupt_record"
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Scan CSV files; without a schema the types are inferred, at the cost of one more pass."""
+    """Scan CSV files; without a schema the types are inferred, at the cost of one more pass.
+
+    A header that disagrees with the schema is an error; columns are never matched by position alone.
+    """
     reader = spark.read.option("header", True)
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-    return reader.csv(path)
+    if schema is None:
+        return reader.option("inferSchema", True).csv(path)
+    return reader.schema(schema).option("enforceSchema", False).csv(path)
 
 
 def read_well_formed_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -11,7 +11,7 @@ from beatgrid.schemas import RAW_INCIDENTS
 
 def feature_stream(spark: SparkSession, raw_path: str) -> DataFrame:
     """Feature rows of raw incident CSV files as they arrive. Row-wise, so no state and no watermark."""
-    raw = spark.readStream.schema(RAW_INCIDENTS).option("header", True).csv(raw_path)
+    raw = spark.readStream.schema(RAW_INCIDENTS).option("header", True).option("enforceSchema", False).csv(raw_path)
     return build_features(raw)
 
 

@@ -9,6 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import types as T
 
 from beatgrid import session
+from beatgrid.__main__ import main
 from beatgrid.operators.rows import split_by_year
 from beatgrid.plans.features import build_features
 from beatgrid.plans.workflow import feature_job, feature_job_csv, model_job, profile_job, read_features
@@ -39,6 +40,12 @@ def test_csv_round_trip_and_modes(spark, scratch):
     assert len(list(Path(path).glob("part-*"))) == 1 and read_csv(spark, path, SCHEMA).count() == 1
 
 
+def test_a_header_in_another_order_is_refused(spark, scratch):
+    Path(scratch, "a.csv").write_text("name,id,v\na,1,2\n")
+    with pytest.raises(Exception, match="CSV header|header"):
+        read_csv(spark, scratch, SCHEMA).collect()
+
+
 def test_malformed_lines_do_not_depend_on_the_columns_used(spark, scratch):
     Path(scratch, "a.csv").write_text('id,name,v\n1,a,2\nx,b,3\n3,c\n4,"d,e",5\n5,f,6,7\n6,,\n')
     df = read_well_formed_csv(spark, scratch, SCHEMA)
@@ -100,3 +107,13 @@ def test_shared_folder():
 
 def test_fresh_paths_differ(spark):
     assert session.fresh_path(spark, "x") != session.fresh_path(spark, "x")
+
+
+def test_command_line(spark, scratch, folder):
+    write_csv(incidents(spark, folder), f"{scratch}/raw")
+    main(["features", f"{scratch}/raw", f"{scratch}/features", "--last-train-year", "1998"])
+    main(["profile", f"{scratch}/features", f"{scratch}/profile"])
+    main(["model", f"{scratch}/features", f"{scratch}/model", "--trees", "2", "--depth", "2"])
+    assert spark.read.parquet(f"{scratch}/profile/train").count() > spark.read.parquet(f"{scratch}/profile/test").count()
+    assert spark.read.parquet(f"{scratch}/model/score").first()["log_loss"] > 0
+    assert spark.read.parquet(f"{scratch}/model/probabilities").select("class").distinct().count() == 15
