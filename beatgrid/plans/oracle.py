@@ -252,7 +252,7 @@ points AS (SELECT stage, feature, n, h, CAST(i AS INTEGER) AS point,
 ORACLE: dict[str, str] = {
     "csv_roundtrip": _with(_FEATURES, f"SELECT {_FEATURE_COLUMNS} FROM features"),
     "csv_dropmalformed": _with(_RAW, "SELECT * FROM raw WHERE IncidntNum % 31 <> 0 AND IncidntNum % 29 <> 0"),
-    "rows_as_json": _with(
+    "rows_to_json": _with(
         _FEATURES, f"SELECT CAST(to_json(f) AS VARCHAR) AS value FROM (SELECT {_FEATURE_COLUMNS} FROM features) f"
     ),
     "preview_limit": _with(_FEATURES, f"SELECT {_FEATURE_COLUMNS} FROM train ORDER BY PdId LIMIT 5"),
@@ -388,7 +388,7 @@ FROM h""",
         "SELECT round(avg(-ln(least(greatest(coalesce(b.p, 0), 1e-15), 1 - 1e-15))), 8) AS log_loss, count(*) AS n "
         "FROM matrix_test t LEFT JOIN bayes b ON b.PdId = t.PdId AND b.class = t.Category_New",
     ),
-    "knn": _with(
+    "knn_proba": _with(
         _MATRICES
         + f""",
 nearest AS (

@@ -12,18 +12,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from beatgrid.functions import arrays, categories, dates, places
-from beatgrid.operators import boosting, classifiers, columns, counts, encode, evaluate, kernel_svm, rows
+from beatgrid.operators import boosting, classifiers, columns, counts, encode, evaluate, kernel_svm, neighbours, rows
 from beatgrid.operators.bayes import fit_naive_bayes
 from beatgrid.operators.density import kernel_density
-from beatgrid.operators.neighbours import knn_proba
 from beatgrid.operators.profile import fit_profile
 from beatgrid.plans.features import REQUIRED, add_features, build_features, decompose_dates
 from beatgrid.plans.matrices import KEY, LABEL, Matrices, label_encoded_matrices, one_hot_matrices
 from beatgrid.schemas import FEATURES, RAW_INCIDENTS
 from beatgrid.session import fresh_path, materialize
+from beatgrid.sources import jsonlines
 from beatgrid.sources.delimited import read_csv, read_well_formed_csv, write_csv
 from beatgrid.sources.incidents import LAST_TRAIN_YEAR, incidents
-from beatgrid.sources.jsonlines import rows_to_json
 from beatgrid.sources.parquet import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,8 +92,8 @@ def csv_dropmalformed(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def rows_as_json(spark: SparkSession, folder: str) -> DataFrame:
-    return rows_to_json(_features(spark, folder))
+def rows_to_json(spark: SparkSession, folder: str) -> DataFrame:
+    return jsonlines.rows_to_json(_features(spark, folder))
 
 
 @query
@@ -447,9 +446,9 @@ def log_loss(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def knn(spark: SparkSession, folder: str) -> DataFrame:
+def knn_proba(spark: SparkSession, folder: str) -> DataFrame:
     data = _label_encoded(spark, folder)
-    return _long(knn_proba(data.train, data.test, data.features, LABEL, KEY))
+    return _long(neighbours.knn_proba(data.train, data.test, data.features, LABEL, KEY))
 
 
 @query

@@ -29,7 +29,7 @@ def test_query_equals_sql(spark, connection, folder, name):
     assert difference([tuple(r) for r in df.collect()], df.columns, result.fetchall(), names) == ""
 
 
-@pytest.mark.parametrize("name", [n for n in ORACLE if n not in ("rows_as_json", "csv_roundtrip", "csv_dropmalformed")])
+@pytest.mark.parametrize("name", [n for n in ORACLE if n not in ("rows_to_json", "csv_roundtrip", "csv_dropmalformed")])
 def test_plan_has_no_all_pairs_join(spark, folder, name):
     plan = QUERIES[name](spark, folder)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
