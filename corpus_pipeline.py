@@ -1,23 +1,57 @@
-"""The corpus pipeline: each stage's result is written and reread as the next one's documents."""
+"""The corpus pipeline: each stage's result is written and reread as the next one's documents.
+
+A document that the toxicity chain rejects goes; repeated lines go, and documents that had nothing else; one
+document of each group of near duplicates stays; sources are mixed to their target weights, so a text may come
+twice or in part; what is left is encoded. SQL cannot express the first and the last stage.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from beatgrid.llm.mixing import mixed_texts
+from beatgrid.llm import byte_bpe, line_dedup, mixing, ngram_join, toxicity
 from beatgrid.session import materialize
 from beatgrid.sources.parquet import read_table
 
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return toxicity.without_toxic(docs, read_table(spark, sf_dir, "labels"))
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return line_dedup.without_repeated_lines(docs)
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return ngram_join.one_of_each(docs)
+
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixed_texts(docs)
+    return mixing.mixed_texts(docs)
+
+
+def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' columns but the text, with ids, offsets and number of tokens."""
+    encoded = byte_bpe.encode(docs, RANKS)
+    return encoded.withColumn("n_tokens", F.size("ids").cast("bigint"))
 
 
-STAGES = [("mix_sources", mix_sources)]
+STAGES = [
+    ("toxicity", reject_toxic),
+    ("line_dedup", drop_repeated_lines),
+    ("ngram_join", keep_one_of_each),
+    ("mixing", mix_sources),
+    ("byte_bpe", encode_texts),
+]
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The result of the last stage over the documents of a folder of tables."""
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), name)

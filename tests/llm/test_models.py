@@ -1,0 +1,250 @@
+"""Models, URL rules and tokens: held-out accuracy, round trips, plain versions."""
+
+from __future__ import annotations
+
+import base64
+import math
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from brute import sha
+from pyspark.sql import functions as F
+from test_operators import SCHEMA, _texts
+
+from beatgrid.llm import byte_bpe, quality_classifier, toxicity, url_filter
+from beatgrid.llm.queries import RANKS
+from beatgrid.sources.parquet import read_table
+
+
+@pytest.fixture(scope="module")
+def reference():
+    with open(RANKS, "rb") as file:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+@pytest.fixture(scope="module")
+def codec():
+    with open(RANKS, "rb") as file:
+        return byte_bpe.codec(file.read())
+
+
+# Tokens
+
+SHAPES = ["a", "Z", "'", "'s", "'ll", "'re", " ", "  ", "\n", "\t", "1", "\u0661", "!", "#", "\u00e9", "\u4e2d", "\u00a0", "\u2003", "\U0001f600", "\x1c", "\u0301"]
+
+
+def test_tokens_of_edge_cases(codec, reference):
+    draw = np.random.default_rng(4)
+    texts = [t or "" for t in _texts()]
+    texts += ["".join(draw.choice(SHAPES, draw.integers(1, 40))) for _ in range(1500)]
+    texts += ["a" * 5000, " " * 3000 + "x", "\n\n\n", "<|endoftext|>", "'" * 50 + "s", "ab" * 4000]
+    for text, ids in zip(texts, codec.encode_batch(texts)):
+        assert ids.tolist() == reference.encode_ordinary(text), repr(text[:80])
+        assert codec.decode(ids, codec.offsets(ids)) == text.encode()
+
+
+def test_tokens_by_windows(codec, reference, monkeypatch):
+    draw = np.random.default_rng(9)
+    text = "".join(draw.choice(SHAPES, 6000))
+    for width in (5, 64, 1000):
+        monkeypatch.setattr(byte_bpe, "WINDOW", width)
+        assert next(iter(codec.encode_batch([text]))).tolist() == reference.encode_ordinary(text)
+
+
+def test_tokens_of_the_table(spark, folder, reference):
+    df = read_table(spark, folder, "documents")
+    text = {r["doc_id"]: r["text"] for r in df.collect()}
+    for r in byte_bpe.round_trip(df, RANKS).collect():
+        ids = np.array(reference.encode_ordinary(text[r["doc_id"]]), dtype="<u4")
+        assert (r["n_tokens"], r["ids_sha256"]) == (len(ids), sha(ids.tobytes()))
+        assert r["decoded_sha256"] == sha(text[r["doc_id"]].encode())
+
+
+def test_encode_keeps_columns_and_decodes(spark):
+    df = spark.createDataFrame([(1, "it's \u00e9", "x"), (2, None, "y"), (None, "", None)], "doc_id bigint, text string, ids string")
+    encoded = byte_bpe.encode(df, RANKS)
+    assert encoded.columns == ["doc_id", "ids", "offsets"]
+    decoded = {r["doc_id"]: bytes(r["decoded"]).decode() for r in byte_bpe.decode(encoded, RANKS).collect()}
+    assert decoded == {1: "it's \u00e9", 2: "", None: ""}
+    assert byte_bpe.round_trip(spark.createDataFrame([], SCHEMA), RANKS).count() == 0
+
+
+# Quality
+
+
+def test_quality_on_held_out_rows(spark):
+    folder = "/root/testdata/sf0.01"
+    scored = quality_classifier.score_quality(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
+    rows = scored.join(read_table(spark, folder, "labels"), "doc_id").where("held_out").collect()
+    assert all(zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0 for r in rows)
+    right = np.mean([r["predicted"] == r["quality"] for r in rows])
+    assert right >= 0.9
+    wrong = [(r["doc_id"], r["score"]) for r in rows if r["quality"] == 1 and r["predicted"] == 0]
+    assert len(wrong) <= 0.05 * len(rows)
+    assert all(0 <= r["score"] <= 1 for r in rows)
+
+
+def test_quality_edge_cases(spark):
+    texts = _texts()
+    rows = [(i, t, "en", "a", 0) for i, t in enumerate(texts)] + [(None, None, None, None, None), (3, texts[3], "", "", 0)]
+    documents = spark.createDataFrame(rows, SCHEMA).withColumn("score", F.lit("mine"))
+    labels = spark.createDataFrame([(i, i % 2 if i % 7 else None, 0) for i in range(20)], "doc_id bigint, quality int, toxic int")
+    assert quality_classifier.score_quality(documents, labels).count() == len(rows)
+    nothing = labels.where("false")
+    assert {r["score"] for r in quality_classifier.score_quality(documents, nothing).collect()} == {0.5}
+    assert quality_classifier.score_quality(documents.where("false"), labels).count() == 0
+
+
+def test_isotonic():
+    draw = np.random.default_rng(0)
+    x, n = np.arange(60.0), draw.integers(1, 9, 60).astype(float)
+    y = draw.random(60)
+    place, mean = quality_classifier.pool_adjacent(x, n, y)
+    assert (np.diff(mean) > 0).all() and (np.diff(place) > 0).all()
+    weighted = np.average(y, weights=n)
+    for k in range(1, 60):  # the fit's mean of any beginning is at most the data's, and of any end at least
+        assert np.average(y[k:], weights=n[k:]) >= mean[0] - 1e-9
+    assert mean[0] <= weighted <= mean[-1]
+
+
+# Toxicity
+
+
+def test_toxicity_on_unseen_rows(spark):
+    folder = "/root/testdata/sf0.01"
+    documents, labels = read_table(spark, folder, "documents"), read_table(spark, folder, "labels")
+    train = labels.where("doc_id % 2 = 0")
+    rows = toxicity.score_toxicity(documents, train).join(labels.where("doc_id % 2 = 1"), "doc_id").collect()
+    toxic = [r["rejected"] for r in rows if r["toxic"] == 1]
+    clean = [r["rejected"] for r in rows if r["toxic"] == 0]
+    assert np.mean(toxic) >= 0.85 and np.mean(clean) <= 0.02
+
+
+def test_toxicity_edge_cases(spark):
+    texts = _texts()
+    rows = [(i, (t or "") + (" vile scoundrel" if i % 3 == 0 else ""), "en", "a", 0) for i, t in enumerate(texts)]
+    rows += [(None, None, None, None, None), (3, None, "", "", 0)]
+    documents = spark.createDataFrame(rows, SCHEMA).withColumn("p_toxic", F.lit("mine"))
+    labels = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(len(texts))], "doc_id bigint, quality int, toxic int")
+    scored = toxicity.score_toxicity(documents, labels)
+    assert scored.count() == len(rows)
+    kept = toxicity.without_toxic(documents, labels)
+    assert kept.columns == documents.columns
+    assert not [r for r in kept.collect() if r["text"] and "scoundrel" in r["text"]]
+    assert kept.count() >= len(rows) - len([r for r in rows if r[1] and "scoundrel" in r[1]])
+    for none in (labels.where("false"), labels.where("toxic = 0")):
+        assert toxicity.score_toxicity(documents, none).where("rejected").count() == 0
+    assert toxicity.score_toxicity(documents.where("false"), labels).count() == 0
+
+
+def test_later_categories_see_unseen_predictions():
+    draw = np.random.default_rng(2)
+    rows = [[int(i) for i in np.flatnonzero(draw.random(12) < 0.2)] for _ in range(300)]
+    first = np.array([0 in r for r in rows])
+    second = np.array([0 in r and 1 not in r for r in rows])
+    chain = toxicity.Chain([f"w{i}" for i in range(12)], ["a", "b"])
+    chain.fit(rows, {"a": first, "b": second}, np.arange(300) % toxicity.FOLDS)
+    assert len(chain.models[0]) == 13 and len(chain.models[1]) == 14
+    assert chain.models[1][12] > 0  # the earlier category's probability counts for the later one
+
+
+# URLs
+
+
+def _split(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    end = min((rest.find(c) for c in "/?#" if c in rest), default=len(rest))
+    host, rest = rest[:end], rest[end:]
+    stop = min((rest.find(c) for c in "?#" if c in rest), default=len(rest))
+    return "".join(c.lower() if c.isascii() else c for c in host), rest[:stop]
+
+
+def _rule(host, path):
+    fitting = [
+        (len(h + p), h + p, v)
+        for v, h, p in url_filter.RULES
+        if (host == h or host.endswith("." + h)) and path.startswith(p)
+    ]
+    return max(fitting)[1:] if fitting else (None, None)
+
+
+def _symbols(url):
+    if url is None or "://" not in url:
+        return []
+    rest = url.split("://", 1)[1].translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+    rest = rest.translate(str.maketrans("123456789_", "000000000-"))
+    return [url_filter.ALPHABET.find(c) + 1 or 31 for c in rest]
+
+
+def _score(symbols, counts, total):
+    padded = [0] * url_filter.ORDER + symbols
+    score = 0.0
+    for i in range(url_filter.ORDER, len(padded)):
+        p = {}
+        for label in ("allow", "block"):
+            p[label] = 1 / 32
+            for order in range(url_filter.ORDER + 1):
+                gram = tuple(padded[i - order : i + 1])
+                seen, out_of = counts[label, gram], total[label, gram[:-1]]
+                p[label] = (seen + url_filter.STRENGTH * p[label]) / (out_of + url_filter.STRENGTH)
+        score += math.log(p["allow"] / p["block"])
+    return score / len(symbols) if symbols else 0.0
+
+
+def test_urls(spark, folder):
+    own = [(r["page_id"], r["url"]) for r in read_table(spark, folder, "pages").select("page_id", "url").collect()]
+    own += [
+        (None, None), (-1, ""), (-2, "no scheme"), (-3, "http://"), (-4, "HTTP://WWW.Example.NET/en/x?y#z"),
+        (-5, "http://net"), (-6, "http://net/"), (-7, "http://x.net?q=/en/"), (-8, "a://b://c/d"), (-9, "http://notnet/x"),
+        (-10, "http://\u00c9.org/fr/\n?x"), (-10, "http://\u00c9.org/fr/\n?x"), (-11, "http://example.com/de"), (-12, "http://x.org#/fr/"),
+    ]
+    pages = spark.createDataFrame([(*r, "mine", "mine") for r in own], "page_id bigint, url string, host string, codes string")
+    result = url_filter.filter_urls(pages.repartition(4)).collect()
+    assert len(result) == len(own)
+    counts, total = Counter(), Counter()
+    for _, url in own:
+        label = _rule(*_split(url))[1]
+        if label is None or sha_first(url) in "012":
+            continue
+        padded = [0] * url_filter.ORDER + _symbols(url)
+        for i in range(url_filter.ORDER, len(padded)):
+            for order in range(url_filter.ORDER + 1):
+                gram = tuple(padded[i - order : i + 1])
+                counts[label, gram] += 1
+                total[label, gram[:-1]] += 1
+    url_of = {}
+    for page, url in own:
+        url_of[page] = url
+    limits = []
+    for r in result:
+        url = url_of[r["page_id"]]
+        assert (r["host"], r["path"]) == _split(url)
+        rule, verdict = _rule(r["host"], r["path"])
+        assert r["rule"] == rule
+        assert r["score"] == pytest.approx(_score(_symbols(url), counts, total), abs=1e-6)
+        if rule is not None:
+            assert r["verdict"] == verdict
+        else:
+            limits.append((r["score"], r["verdict"]))
+    allowed = [s for s, v in limits if v == "allow"]
+    blocked = [s for s, v in limits if v == "block"]
+    assert not allowed or not blocked or min(allowed) > max(blocked)
+
+
+def sha_first(url):
+    import hashlib
+
+    return hashlib.md5(url.encode()).hexdigest()[0]
+
+
+def test_urls_without_training_rows(spark):
+    pages = spark.createDataFrame([(1, "http://a.com/x"), (2, None)], "page_id bigint, url string")
+    assert {r["verdict"] for r in url_filter.filter_urls(pages).collect()} == {"allow"}
+    assert url_filter.filter_urls(pages.where("false")).count() == 0
