@@ -141,8 +141,8 @@ def _quotas(sizes: DataFrame, weights, share, limit, block_words, shard_words, s
         "_source",
         "_shard",
         "_shards",
-        "source_size",
-        "target",
+        F.col("source_size").alias("_source_size"),
+        F.col("target").alias("_target"),
         "_words",
         "_pieces",
         F.least(F.col("_seats"), limit * F.col("_pieces")).alias("_quota"),
@@ -206,8 +206,8 @@ def mix(
     return with_result(
         placed,
         size=F.col("_size"),
-        source_size=F.col("source_size"),
-        target=F.col("target"),
+        source_size=F.col("_source_size"),
+        target=F.col("_target"),
         taken=(F.col("_full") * F.col("_size") + F.col("_part")).cast("bigint"),
     )
 

@@ -62,7 +62,7 @@ def _groups(hashes: np.ndarray, ids: np.ndarray, n: int) -> tuple[np.ndarray, np
             break
     number = np.concatenate(([0], np.cumsum(~same)))
     twice = np.concatenate(([False], same)) | np.concatenate((same, [False]))
-    return order[twice], number[twice]
+    return (order[twice], number[twice]) if twice.any() else None
 
 
 def _covered(starts: np.ndarray, n: int, size: int) -> np.ndarray:
