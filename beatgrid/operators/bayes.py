@@ -10,6 +10,7 @@ from operator import add
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from beatgrid.functions.sums import exact_sum
 from beatgrid.session import materialize
 
 
@@ -52,7 +53,7 @@ def fit_naive_bayes(
 ) -> NaiveBayes:
     """Fit on non-negative features in one pass; the class shares themselves are not smoothed."""
     sums = train.groupBy(F.col(label).alias("class")).agg(
-        F.count(F.lit(1)).alias("rows"), F.array(*(F.sum(name).cast("double") for name in features)).alias("sums")
+        F.count(F.lit(1)).alias("rows"), F.array(*(exact_sum(F.col(name)).cast("double") for name in features)).alias("sums")
     )
     sums = materialize(sums, "bayes-sums")
     all_rows = sums.agg(F.sum("rows")).scalar()

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Model, Pipeline
+from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     LogisticRegression,
@@ -18,8 +18,9 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import PCA, StandardScaler
+from pyspark.ml.feature import PCA, ElementwiseProduct, StandardScaler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -110,6 +111,16 @@ def principal_components(k: int) -> Pipeline:
     )
 
 
+def fit_components(k: int, rows: DataFrame) -> PipelineModel:
+    """The projection with signs settled: the largest loading of every component is positive."""
+    fitted = principal_components(k).fit(rows)
+    loadings = fitted.stages[-1].pc.toArray()
+    largest = loadings[abs(loadings).argmax(axis=0), range(k)]
+    signs = Vectors.dense([1.0 if value >= 0 else -1.0 for value in largest])
+    turn = ElementwiseProduct(scalingVec=signs, inputCol="projected", outputCol="turned")
+    return PipelineModel([*fitted.stages, turn])
+
+
 def on_components(k: int, classifier) -> Pipeline:
     """``classifier`` on the first ``k`` components."""
     return Pipeline(stages=[*principal_components(k).getStages(), classifier.setFeaturesCol("projected")])

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from beatgrid.functions.sums import exact_mean
+
 
 def value_counts(df: DataFrame, *columns: str) -> DataFrame:
     """Rows per distinct combination of ``columns``."""
@@ -59,5 +61,5 @@ def non_null_counts(df: DataFrame, column: str) -> DataFrame:
 
 def column_means(df: DataFrame, *columns: str) -> DataFrame:
     """One row with the mean of each column."""
-    means: list[Column] = [F.avg(name).alias(name) for name in columns]
+    means: list[Column] = [exact_mean(F.col(name)).alias(name) for name in columns]
     return df.agg(*means)

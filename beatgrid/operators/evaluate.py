@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from beatgrid.functions.sums import exact_mean
+
 # Fixed value: probabilities are kept this far away from 0 and 1.
 EPSILON = 1e-15
 
@@ -28,7 +30,7 @@ def log_loss(true: Column) -> Column:
     A class the model does not know has probability 0 and is scored by the clipping bound.
     """
     p = F.coalesce(true, F.lit(0.0))
-    return F.avg(-F.log(F.least(F.greatest(p, F.lit(EPSILON)), F.lit(1.0 - EPSILON))))
+    return exact_mean(-F.log(F.least(F.greatest(p, F.lit(EPSILON)), F.lit(1.0 - EPSILON))))
 
 
 def score(probabilities: DataFrame, label: str) -> DataFrame:

@@ -25,7 +25,7 @@ def left_lookup(
     """
     if lookup_bytes <= limit:
         return rows.join(F.broadcast(lookup), key, "left")
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)))
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*(F.col(f"`{name}`") for name in rows.columns)), F.lit(salts)))
     every_salt = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
     copies = lookup.withColumn("_salt", F.explode(every_salt))
     return salted.join(copies.hint("merge"), [key, "_salt"], "left").drop("_salt")

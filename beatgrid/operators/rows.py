@@ -26,8 +26,8 @@ def split_by_year(df: DataFrame, last_train_year: int = 2015) -> tuple[DataFrame
 
 def with_split(df: DataFrame, last_train_year: int = 2015) -> DataFrame:
     """Both parts in one pass, told apart by a ``split`` column."""
-    part = F.when(F.col("Year") <= last_train_year, "train").when(F.col("Year") > last_train_year, "test")
-    return df.withColumn("split", part).where(F.col("split").isNotNull())
+    part = F.when(F.col("Year") <= last_train_year, "train").otherwise("test")
+    return df.where(F.col("Year").isNotNull()).withColumn("split", part)
 
 
 def drop_null_rows(df: DataFrame, *columns: str) -> DataFrame:

@@ -32,10 +32,13 @@ REQUIRED = (
 
 
 def decompose_dates(raw: DataFrame) -> DataFrame:
-    """Parse the date and the time of day and split them into integers."""
-    parsed = raw.withColumns(
-        {"Dates": parse_date(F.col("Date")), "Time": parse_time(F.col("Time"))}
-    )
+    """Parse the date and the time of day and split them into integers.
+
+    Both come out of a one-row generator: tests and parts built on them use the parsed values, where plain
+    columns would be copied into every filter and parsed again there.
+    """
+    both = F.struct(parse_date(F.col("Date")).alias("Dates"), parse_time(F.col("Time")).alias("_time"))
+    parsed = raw.select("*", F.inline(F.array(both)))
     return parsed.select(
         "IncidntNum",
         "Category",
@@ -51,8 +54,8 @@ def decompose_dates(raw: DataFrame) -> DataFrame:
         "PdId",
         F.year("Dates").alias("Year"),
         F.month("Dates").alias("Month"),
-        F.hour("Time").alias("Hour"),
-        F.minute("Time").alias("Minute"),
+        F.hour("_time").alias("Hour"),
+        F.minute("_time").alias("Minute"),
         F.dayofmonth("Dates").alias("Day"),
     )
 

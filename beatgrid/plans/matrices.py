@@ -7,16 +7,19 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from beatgrid.operators.columns import NOT_IN_LABEL_ENCODED, NOT_IN_ONE_HOT
-from beatgrid.operators.encode import code_of, fit_vocabulary, one_hot
+from beatgrid.operators.columns import NOT_IN_LABEL_ENCODED, NOT_IN_ONE_HOT, string_columns
+from beatgrid.operators.encode import apply_codes, fit_codes, fit_vocabulary, one_hot
 from beatgrid.session import materialize
 
 # Label column, row key, and the prefixes of one-hot columns.
 LABEL = "Category_New"
 KEY = "PdId"
+KEY_FEATURE = "PdId_feature"
 PREFIXES = {"Season": "season", "PdDistrict": "pdDist", "DayOfWeek": "day"}
 
-ROWS_PER_TASK = 10_000
+# A table is dealt to tasks by key, into a number that follows from its rows alone: up to FEW_TASKS of
+# SMALL_TASK rows, then as many as LARGE_TASK rows each make.
+SMALL_TASK, FEW_TASKS, LARGE_TASK = 1_000, 64, 200_000
 
 
 @dataclass(frozen=True)
@@ -36,45 +39,48 @@ class Matrices:
 
 
 def _stored(df: DataFrame, name: str) -> DataFrame:
-    """A table read with work for every core, although a small one lies in few files."""
+    """The rows as a table, dealt by key and sorted within tasks.
+
+    Bagging draws by task, so a layout that depends on the rows only gives the same model on any cluster.
+    """
     table = materialize(df, name)
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if table.rdd.getNumPartitions() >= cores:
-        return table
-    tasks = min(cores, table.count() // ROWS_PER_TASK)
-    return table.repartition(tasks) if tasks > 1 else table
+    rows = table.count()
+    tasks = max(1, min(FEW_TASKS, -(-rows // SMALL_TASK)), -(-rows // LARGE_TASK))
+    return table.repartition(tasks, KEY).sortWithinPartitions(KEY)
 
 
-def _matrices(encode, train: DataFrame, test: DataFrame, dropped: tuple[str, ...], classes: list[str]) -> Matrices:
-    encoded = encode(train)
-    features = [name for name in encoded.columns if name not in dropped]
+def _matrices(train: DataFrame, test: DataFrame, dropped: tuple[str, ...], classes: list[str]) -> Matrices:
+    """Matrices of encoded parts; dropped columns are no features, the key and the label go along."""
+    features = [name for name in train.columns if name not in (*dropped, KEY)]
+    extra = [] if KEY in dropped else [KEY_FEATURE]
 
     def rows(df: DataFrame) -> DataFrame:
-        return df.select(KEY, LABEL, *features)
+        own = [F.col(f"`{name}`") for name in features]
+        return df.select(KEY, LABEL, *own, *(F.col(KEY).alias(name) for name in extra))
 
-    return Matrices(rows(encoded), rows(encode(test)), features, classes)
+    return Matrices(rows(train), rows(test), [*features, *extra], classes)
 
 
 def label_encoded_matrices(
     train: DataFrame, test: DataFrame, dropped: tuple[str, ...] = NOT_IN_LABEL_ENCODED
 ) -> Matrices:
-    """One-hot season, coded weekday and district; a value unseen in training gets the next free code."""
-    coded = ("DayOfWeek", "PdDistrict")
-    vocabulary = fit_vocabulary(train, LABEL, "Season", *coded)
+    """One-hot season, and codes of every other text column that stays; a value unseen in training gets the next
+    free code. Features follow the order of the columns, the key, if it is one, comes last."""
+    vocabulary = fit_vocabulary(train, LABEL, "Season")
+    coded = [n for n in string_columns(train) if n not in (LABEL, "Season", *dropped)]
+    fitted = fit_codes(train, *coded)
 
     def encode(df: DataFrame) -> DataFrame:
-        codes = [
-            F.coalesce(code_of(F.col(name), vocabulary[name]), F.lit(len(vocabulary[name]))).alias(name)
-            for name in coded
-        ]
-        others = [name for name in df.columns if name not in coded]
-        return one_hot(df.select(*codes, *others), {"Season": vocabulary["Season"]}, PREFIXES)
+        codes = apply_codes(df, fitted, unseen=True)
+        first = [F.col(n) for n in coded]
+        others = [F.col(n) for n in df.columns if n not in coded]
+        return one_hot(codes.select(*first, *others), {"Season": vocabulary["Season"]}, PREFIXES)
 
-    return _matrices(encode, train, test, dropped, vocabulary[LABEL])
+    return _matrices(encode(train), encode(test), dropped, vocabulary[LABEL])
 
 
 def one_hot_matrices(train: DataFrame, test: DataFrame, dropped: tuple[str, ...] = NOT_IN_ONE_HOT) -> Matrices:
     """One-hot season, district and weekday."""
     vocabulary = fit_vocabulary(train, LABEL, *PREFIXES)
     hot = {name: vocabulary[name] for name in PREFIXES}
-    return _matrices(lambda df: one_hot(df, hot, PREFIXES), train, test, dropped, vocabulary[LABEL])
+    return _matrices(one_hot(train, hot, PREFIXES), one_hot(test, hot, PREFIXES), dropped, vocabulary[LABEL])

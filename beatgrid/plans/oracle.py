@@ -159,9 +159,10 @@ long_train AS (
 long_test AS (
   SELECT PdId, unnest([0, 1, 2, 3, 4, 5, 6, 7, 8, 9]) AS j,
     unnest([x0, x1, abs(x2), x3, x4, x5, x6, x7, x8, x9]) AS v FROM matrix_test),
-sums AS (SELECT Category_New, j, sum(v) AS s FROM long_train GROUP BY 1, 2),
+sums AS (SELECT Category_New, j, CAST(sum(CAST(v AS DECIMAL(28, 10))) AS DOUBLE) AS s
+         FROM long_train GROUP BY 1, 2),
 shares AS (SELECT Category_New, j, ln((s + 1e-2) / (sum(s) OVER (PARTITION BY Category_New) + 1e-1)) AS w FROM sums),
-priors AS (SELECT Category_New, ln(count(*) / CAST((SELECT count(*) FROM train) AS DOUBLE)) AS w FROM train GROUP BY 1),
+priors AS (SELECT Category_New, PRIOR AS w FROM train GROUP BY 1),
 scores AS (
   SELECT t.PdId, s.Category_New, sum(t.v * s.w) + any_value(p.w) AS score
   FROM long_test t JOIN shares s USING (j) JOIN priors p ON p.Category_New = s.Category_New GROUP BY 1, 2),
@@ -169,6 +170,11 @@ shifted AS (SELECT PdId, Category_New, exp(score - max(score) OVER (PARTITION BY
 bayes AS (SELECT PdId, Category_New AS class, e / sum(e) OVER (PARTITION BY PdId) AS p FROM shifted)"""
 )
 
+_SMOOTHED_BAYES = _BAYES.replace(
+    "PRIOR", "ln((count(*) + 1e-2) / ((SELECT count(*) FROM train) + 1e-2 * (SELECT count(*) FROM classes)))"
+)
+_BAYES = _BAYES.replace("PRIOR", "ln(count(*) / CAST((SELECT count(*) FROM train) AS DOUBLE))")
+
 _SQUARED = " + ".join(f"(q.x{j} - t.x{j}) * (q.x{j} - t.x{j})" for j in range(10))
 
 
@@ -223,13 +229,72 @@ def _curves() -> str:
             value = name
             if stage == "after":
                 value = (
-                    f"({name} - (SELECT avg({name}) FROM matrix_train)) / "
-                    f"(SELECT stddev_pop({name}) FROM matrix_train)"
+                    f"({name} - {_mean(name, 'matrix_train')}) / {_deviation(name, 'matrix_train')}"
                 )
             pieces.append(f"SELECT '{stage}' AS stage, '{feature}' AS feature, {value} AS v FROM matrix_train")
     return " UNION ALL ".join(pieces)
 
 
+def _mean(column: str, table: str = "train") -> str:
+    """Mean from an exact sum."""
+    return f"(SELECT CAST(sum(CAST({column} AS DECIMAL(28, 10))) AS DOUBLE) / count({column}) FROM {table})"
+
+
+def _deviation(column: str, table: str = "train") -> str:
+    rough = f"(SELECT round(avg({column}), 3) FROM {table})"
+    away = f"(SELECT {column} - {rough} AS d FROM {table})"
+    return f"sqrt({_mean('d * d', away)} - {_mean('d', away)} * {_mean('d', away)})"
+
+
+def _matrix_rows(numbers: tuple[str, ...], seasons: tuple[str, ...]) -> str:
+    """(PdId, feature, v) of test rows, every text column coded."""
+    texts = ("Category", "DayOfWeek", "PdDistrict", "Location", "TimeOfDay")
+    ctes, joins = [], []
+    for name in texts:
+        ctes.append(
+            f"code_{name} AS (SELECT {name}, dense_rank() OVER (ORDER BY {name}) - 1 AS code "
+            f"FROM (SELECT DISTINCT {name} FROM train))"
+        )
+        joins.append(f"LEFT JOIN code_{name} ON code_{name}.{name} = test.{name}")
+    values = [f"coalesce(code_{n}.code, (SELECT count(*) FROM code_{n}))" for n in texts]
+    values += [f"test.{n}" for n in numbers] + ["test.PdId"]
+    values += [f"CASE WHEN Season = '{n}' THEN 1 ELSE 0 END" for n in seasons]
+    names = [*texts, *numbers, "PdId_feature", *(f"season_{n}" for n in seasons)]
+    return (
+        f"WITH {_FEATURES.strip()},\n{', '.join(ctes)}\n"
+        f"SELECT test.PdId, unnest([{', '.join(repr(n) for n in names)}]) AS feature, "
+        f"round(unnest([{', '.join(f'CAST({v} AS DOUBLE)' for v in values)}]), 8) AS v FROM test {' '.join(joins)}"
+    )
+
+
+def _label_flags() -> str:
+    names = (
+        "ARSON", "ASSAULT", "DEADLY TOOL POSSESSION", "DOMESTIC VIOLENCE", "DRUG/NARCOTIC", "DRUKENNESS",
+        "FRAUD/COUNTERFEITING", "LARCENY/THEFT", "LOITERING", "PORNOGRAPHY/OBSCENE MAT", "ROBBERY",
+        "SEXUAL OFFENSES", "SUSPICIOUS PERSON/ACT", "TRAFFIC VIOLATION", "WARRANT ISSUED",
+    )
+    return ", ".join(f"CAST(Category_New = '{n}' AS INTEGER) AS \"class_{n}\"" for n in names)
+
+
+_TYPES = (
+    "bigint string string string double double string bigint int int int int string bigint int string string"
+).split()
+
+_PLANE = (
+    _FEATURES
+    + f""",
+centre AS (SELECT {_mean("X")} AS mx, {_mean("Y")} AS my),
+spread AS (SELECT sum((X - mx) * (X - mx)) AS a, sum((X - mx) * (Y - my)) AS b, sum((Y - my) * (Y - my)) AS c
+           FROM train CROSS JOIN centre),
+root AS (SELECT a, b, c, (a + c) / 2 + sqrt((a - c) * (a - c) / 4 + b * b) AS l FROM spread),
+axis AS (SELECT b / sqrt(b * b + (l - a) * (l - a)) AS u, (l - a) / sqrt(b * b + (l - a) * (l - a)) AS v FROM root),
+axes AS (SELECT CASE WHEN (CASE WHEN abs(u) >= abs(v) THEN u ELSE v END) < 0 THEN -u ELSE u END AS u1,
+                CASE WHEN (CASE WHEN abs(u) >= abs(v) THEN u ELSE v END) < 0 THEN -v ELSE v END AS v1 FROM axis),
+turned AS (SELECT u1, v1, CASE WHEN (CASE WHEN abs(v1) >= abs(u1) THEN -v1 ELSE u1 END) < 0 THEN v1 ELSE -v1 END AS u2,
+                  CASE WHEN (CASE WHEN abs(v1) >= abs(u1) THEN -v1 ELSE u1 END) < 0 THEN -u1 ELSE u1 END AS v2
+           FROM axes)"""
+)
+
 _LOCATIONS = (
     _FEATURES
     + """,
@@ -321,9 +386,8 @@ FROM h""",
         _FEATURES,
         "SELECT "
         + ", ".join(
-            f"round(avg({c}), 8) AS {c}" for c in ("X", "Y", "Year", "Month", "Hour", "Day", "GridNo", "BlockOrJunc")
-        )
-        + " FROM train",
+            f"round({_mean(c)}, 8) AS {c}" for c in ("X", "Y", "Year", "Month", "Hour", "Day", "GridNo", "BlockOrJunc")
+        ),
     ),
     "row_count_check": _with(
         _FEATURES, "SELECT count(*) AS n_left, count(*) AS n_right, TRUE AS ok FROM test"
@@ -357,14 +421,14 @@ FROM h""",
     "mean_center": _with(
         _FEATURES,
         "SELECT PdId, "
-        + ", ".join(f"round({c} - (SELECT avg({c}) FROM train), 8) AS {c}" for c in ("X", "Y", "Hour", "GridNo"))
+        + ", ".join(f"round({c} - {_mean(c)}, 8) AS {c}" for c in ("X", "Y", "Hour", "GridNo"))
         + " FROM test",
     ),
     "standard_scale": _with(
         _FEATURES,
         "SELECT PdId, "
         + ", ".join(
-            f"round(({c} - (SELECT avg({c}) FROM train)) / (SELECT stddev_pop({c}) FROM train), 8) AS {c}"
+            f"round(({c} - {_mean(c)}) / {_deviation(c)}, 8) AS {c}"
             for c in ("X", "Y", "Hour", "GridNo")
         )
         + " FROM test",
@@ -383,10 +447,30 @@ FROM h""",
         "FROM points p JOIN weights w ON w.stage = p.stage AND w.feature = p.feature GROUP BY 1, 2, 3",
     ),
     "naive_bayes": _with(_BAYES, "SELECT PdId, class, round(p, 8) AS p FROM bayes"),
+    "naive_bayes_smoothed_prior": _with(_SMOOTHED_BAYES, "SELECT PdId, class, round(p, 8) AS p FROM bayes"),
+    "label_one_hot": _with(_FEATURES, f"SELECT PdId, {_label_flags()} FROM test"),
+    "schema_rows": _with(
+        _FEATURES,
+        "SELECT CAST(p AS INTEGER) AS position, name, type, (SELECT count(*) FROM features) AS n FROM (VALUES "
+        + ", ".join(f"({i}, '{n}', '{t}')" for i, (n, t) in enumerate(zip(_FEATURE_COLUMNS.split(", "), _TYPES)))
+        + ") AS v(p, name, type)",
+    ),
+    "model_matrix_reduced": _matrix_rows(
+        ("Y", "Month", "Hour", "Day", "GridNo", "BlockOrJunc"), ("Summer", "Winter")
+    ),
+    "model_matrix_summer_forest": _matrix_rows(
+        ("IncidntNum", "Y", "Month", "Hour", "Day", "GridNo", "BlockOrJunc"), ("Fall", "Summer")
+    ),
+    "pca_plane": _with(
+        _PLANE,
+        "SELECT PdId, CAST(unnest([0, 1]) AS INTEGER) AS pos, "
+        "round(unnest([(X - mx) * u1 + (Y - my) * v1, (X - mx) * u2 + (Y - my) * v2]), 5) AS p "
+        "FROM test CROSS JOIN centre CROSS JOIN turned",
+    ),
     "log_loss": _with(
         _BAYES,
-        "SELECT round(avg(-ln(least(greatest(coalesce(b.p, 0), 1e-15), 1 - 1e-15))), 8) AS log_loss, count(*) AS n "
-        "FROM matrix_test t LEFT JOIN bayes b ON b.PdId = t.PdId AND b.class = t.Category_New",
+        "SELECT round(CAST(sum(CAST(-ln(least(greatest(coalesce(b.p, 0), 1e-15), 1 - 1e-15)) AS DECIMAL(28, 10))) "
+        "AS DOUBLE) / count(*), 8) AS log_loss, count(*) AS n FROM matrix_test t LEFT JOIN bayes b ON b.PdId = t.PdId AND b.class = t.Category_New",
     ),
     "knn_proba": _with(
         _MATRICES

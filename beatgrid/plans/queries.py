@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,9 +86,14 @@ def csv_dropmalformed(spark: SparkSession, folder: str) -> DataFrame:
     wrong = F.concat(whole, F.lit("x"))
     key = F.col("IncidntNum")
     line = F.when(key % 31 == 0, cut).when(key % 29 == 0, wrong).otherwise(whole)
-    header = spark.createDataFrame([(",".join(raw.columns),)], "value string")
+    header = ",".join(raw.columns)
+
+    def with_header(batches):
+        yield pd.DataFrame({"value": [header]})
+        yield from batches
+
     path = fresh_path(spark, "incidents-csv")
-    raw.select(line.alias("value")).unionByName(header).write.text(path)
+    raw.select(line.alias("value")).mapInPandas(with_header, "value string").write.text(path)
     return read_well_formed_csv(spark, path, RAW_INCIDENTS)
 
 
@@ -346,7 +352,7 @@ def one_hot(spark: SparkSession, folder: str) -> DataFrame:
 def label_encode(spark: SparkSession, folder: str) -> DataFrame:
     train, test = _split(spark, folder)
     names = ("DayOfWeek", "PdDistrict", "TimeOfDay", "Season", "Category", "Category_New")
-    return encode.label_encode(test, encode.fit_vocabulary(train, *names)).select(KEY, *names)
+    return encode.label_codes(train, test, *names).select(KEY, *names)
 
 
 @query
@@ -356,6 +362,23 @@ def label_encode_wide(spark: SparkSession, folder: str) -> DataFrame:
     return encode.label_codes(train, test, "Location").select(KEY, "Location")
 
 
+@query
+def label_one_hot(spark: SparkSession, folder: str) -> DataFrame:
+    """The label as 0/1 columns, one per training class."""
+    train, test = _split(spark, folder)
+    classes = encode.fit_vocabulary(train, LABEL)
+    return encode.one_hot(test.select(KEY, LABEL), classes, {LABEL: "class"})
+
+
+@query
+def schema_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Names and types of the feature table's columns, and how many rows have a value there."""
+    features = _features(spark, folder)
+    filled = features.agg(F.array(*(F.count(name) for name in features.columns)).alias("n"))
+    counted = filled.select(F.posexplode("n").alias("position", "n"))
+    return columns.schema_rows(features).join(F.broadcast(counted), "position")
+
+
 @query
 def mean_center(spark: SparkSession, folder: str) -> DataFrame:
     train, test = _split(spark, folder)
@@ -388,6 +411,24 @@ def model_matrix(spark: SparkSession, folder: str) -> DataFrame:
     return _elements(assembled.select(KEY, "label", values), "values", KEY, "label")
 
 
+def _matrix_rows(spark: SparkSession, folder: str, dropped: tuple[str, ...]) -> DataFrame:
+    data = label_encoded_matrices(*_split(spark, folder), dropped=dropped)
+    pairs = [F.struct(F.lit(n).alias("feature"), F.col(f"`{n}`").cast("double").alias("v")) for n in data.features]
+    return data.test.select(KEY, F.inline(F.array(*pairs))).withColumn("v", _rounded("v"))
+
+
+@query
+def model_matrix_reduced(spark: SparkSession, folder: str) -> DataFrame:
+    """Test rows of the matrix with the reduced list: every text column coded, the key a feature."""
+    return _matrix_rows(spark, folder, columns.NOT_IN_REDUCED)
+
+
+@query
+def model_matrix_summer_forest(spark: SparkSession, folder: str) -> DataFrame:
+    """Test rows of the matrix with the list of the log2 forest."""
+    return _matrix_rows(spark, folder, columns.NOT_IN_SUMMER_FOREST)
+
+
 @query
 def kde(spark: SparkSession, folder: str) -> DataFrame:
     """Density curves before and after scaling."""
@@ -459,7 +500,8 @@ def rf_proba(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def rf_proba_log2(spark: SparkSession, folder: str) -> DataFrame:
-    data = _stored(spark, folder)
+    """The log2 forest on its own list of features."""
+    data = label_encoded_matrices(*_split(spark, folder), dropped=columns.NOT_IN_SUMMER_FOREST).stored()
     forest = classifiers.random_forest(trees=100, depth=11, features="log2")
     return _long(_predicted(forest.fit(_fit_rows(data)), data))
 
@@ -492,9 +534,9 @@ def dtree_proba_all_features(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def feature_importance(spark: SparkSession, folder: str) -> DataFrame:
+    """Importances of the established tree, the one of ``dtree_proba``."""
     data = _stored(spark, folder)
-    model = classifiers.random_forest(trees=20, depth=8).fit(_fit_rows(data))
-    return classifiers.feature_importance(spark, model, data.features)
+    return classifiers.feature_importance(spark, classifiers.decision_tree().fit(_fit_rows(data)), data.features)
 
 
 @query
@@ -504,15 +546,41 @@ def logreg_proba(spark: SparkSession, folder: str) -> DataFrame:
     return _long(_predicted(estimator.fit(_fit_rows(data)), data))
 
 
+@query
+def logreg_proba_l2(spark: SparkSession, folder: str) -> DataFrame:
+    """The second established setting: squared penalty, C = 0.6, tolerance 0.001."""
+    data = _stored(spark, folder)
+    estimator = classifiers.logistic_regression(
+        data.train.count(), penalty="l2", inverse_strength=0.6, iterations=100, tolerance=1e-3
+    )
+    return _long(_predicted(estimator.fit(_fit_rows(data)), data))
+
+
 @query
 def pca_project(spark: SparkSession, folder: str) -> DataFrame:
     data = _stored(spark, folder)
-    model = classifiers.principal_components(6).fit(_fit_rows(data))
+    return _projected(data, 6)
+
+
+def _projected(data: Matrices, k: int) -> DataFrame:
+    model = classifiers.fit_components(k, _fit_rows(data))
     projected = model.transform(encode.assemble(data.test, data.features, KEY))
-    values = classifiers.vector_to_array("projected").alias("values")
+    values = classifiers.vector_to_array("turned").alias("values")
     return _elements(projected.select(KEY, values), "values", KEY)
 
 
+def _only(data: Matrices, *features: str) -> Matrices:
+    """The same rows with fewer features."""
+    return Matrices(data.train, data.test, list(features), data.classes)
+
+
+@query
+def pca_plane(spark: SparkSession, folder: str) -> DataFrame:
+    """Both components of the coordinates, which have a closed form; to five places."""
+    plane = _projected(_only(_stored(spark, folder), "X", "Y"), 2)
+    return plane.withColumn("p", F.round("p", 5))
+
+
 @query
 def pca_logreg(spark: SparkSession, folder: str) -> DataFrame:
     data = _stored(spark, folder)
@@ -523,7 +591,7 @@ def pca_logreg(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def pca_forest(spark: SparkSession, folder: str) -> DataFrame:
     data = _stored(spark, folder)
-    forest = classifiers.random_forest(trees=20, depth=8, features="log2")
+    forest = classifiers.random_forest(trees=100, depth=13, features="log2")
     return _long(_predicted(classifiers.on_components(10, forest).fit(_fit_rows(data)), data))
 
 
@@ -544,7 +612,7 @@ def samme_proba(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def stump_boosting_proba(spark: SparkSession, folder: str) -> DataFrame:
     data = _stored(spark, folder)
-    model = boosting.fit_boosted_trees(_fit_rows(data), data.classes, rounds=12, depth=1, rate=1.0)
+    model = boosting.fit_boosted_trees(_fit_rows(data), data.classes, rounds=24, depth=1, rate=1.0)
     return _long(model.predict_proba(data.test, data.features, KEY))
 
 
@@ -552,7 +620,7 @@ def stump_boosting_proba(spark: SparkSession, folder: str) -> DataFrame:
 def svm_ovr(spark: SparkSession, folder: str) -> DataFrame:
     scaled = _scaled(_stored(spark, folder)).stored()
     model = kernel_svm.fit_kernel_svm(
-        scaled.train, scaled.features, LABEL, scaled.classes, scaled.train.count(), iterations=20
+        scaled.train, scaled.features, LABEL, scaled.classes, scaled.train.count(), iterations=300
     )
     return _long(model.predict_proba(scaled.test, KEY))
 
@@ -564,5 +632,7 @@ def grid_search(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def cross_validate(spark: SparkSession, folder: str) -> DataFrame:
-    data = _stored(spark, folder)
-    return classifiers.cross_validate(_fit_rows(data), classifiers.random_forest(trees=20, depth=8))
+    """The network on four folds."""
+    scaled = _scaled(_stored(spark, folder)).stored()
+    network = classifiers.perceptron(len(scaled.features), len(scaled.classes))
+    return classifiers.cross_validate(_fit_rows(scaled), network)

@@ -40,3 +40,33 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a table of the shared folder."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+class Scratch:
+    """Intermediate tables of one piece of work: written like :func:`materialize`, removed when the block ends.
+
+    What is returned from the block must not read them any more; materialize it first.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *problem) -> None:
+        for path in self.paths:
+            remove(self.spark, path)
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        path = fresh_path(self.spark, name)
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)

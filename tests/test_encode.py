@@ -20,24 +20,56 @@ def test_vocabulary_and_codes(spark):
     hot = encode.one_hot(test, {"s": vocabulary["s"]}, {"s": "p"})
     assert hot.columns == ["t", "p_a", "p_b", "p_É"]
     assert [tuple(r)[1:] for r in hot.collect()] == [(0, 1, 0), (0, 0, 0), (0, 0, 0)]
-    with pytest.raises(ValueError):
-        encode.fit_vocabulary(train, "s", "t", limit=4)
 
 
 @pytest.mark.parametrize("partitions", [1, 5, 40])
 def test_value_codes_are_dense_ranks(spark, partitions):
     words = [f"w{(i * 7919) % 1000:04d}" for i in range(3000)]
     df = spark.createDataFrame([(w,) for w in [*words, None]], "w string")
-    codes = {r["value"]: r["code"] for r in encode.value_codes(df, "w", partitions).collect()}
+    codes = {r["value"]: r["code"] for r in encode.value_codes(df, "w", partitions=partitions).collect()}
     assert codes == {w: i for i, w in enumerate(sorted(set(words)))}
 
 
-def test_wide_and_narrow_label_codes_agree(spark):
+def test_label_codes_of_any_type_and_number(spark):
+    train = spark.createDataFrame(
+        [(i % 400, f"a{i % 400:03d}", f"b{i % 400:03d}", f"wide{i:05d}", i / 4) for i in range(5000)],
+        "n int, `a.b` string, t string, w string, x double",
+    )
+    df = spark.createDataFrame(
+        [(7, "a007", "b399", "wide04999", 2.0), (-1, "?", None, "wide00000", 2.1)],
+        "n int, `a.b` string, t string, w string, x double",
+    )
+    names = ("n", "a.b", "t", "w", "x")
+    assert [tuple(r) for r in encode.label_codes(train, df, *names).orderBy("w").collect()] == [
+        (None, None, None, 0, None),
+        (7, 7, 399, 4999, 8),
+    ]
+    assert tuple(encode.label_codes(train, df, *names, unseen=True).orderBy("w").first()) == (400, 400, 400, 0, 5000)
+
+
+def test_label_codes_do_not_depend_on_the_join(spark, monkeypatch):
     train = spark.createDataFrame([(f"v{i % 50}",) for i in range(200)], "w string")
     df = spark.createDataFrame([(f"v{i}", i) for i in range(60)], "w string, i int")
-    narrow, wide = encode.label_codes(train, df, "w"), encode.label_codes(train, df, "w", limit=10)
-    assert sorted(map(tuple, wide.collect()), key=lambda r: r[1]) == [tuple(r) for r in narrow.orderBy("i").collect()]
-    assert wide.where("w is null").count() == 10
+    small = encode.label_codes(train, df, "w").orderBy("i").collect()
+    left = encode.left_lookup
+    monkeypatch.setattr(encode, "left_lookup", lambda *a: left(*a, limit=0))
+    assert encode.label_codes(train, df, "w").orderBy("i").collect() == small
+    assert sum(row["w"] is None for row in small) == 10
+
+
+def test_names_and_values_with_dots(spark):
+    df = spark.createDataFrame([("a.b", 1.0), ("c", 2.0)], "s string, `x.y` double")
+    hot = encode.one_hot(df, {"s": ["a.b", "c"]}, {"s": "p"})
+    assembled = encode.assemble(hot, hot.columns)
+    assert [list(r["features"].toArray()) for r in assembled.collect()] == [[1.0, 1.0, 0.0], [2.0, 0.0, 1.0]]
+
+
+def test_one_hot_vectors(spark):
+    train = spark.createDataFrame([(f"v{i:04d}",) for i in range(3000)], "s string")
+    df = spark.createDataFrame([("v0002",), ("new",), (None,)], "s string")
+    vectors = {r["s"]: r["s_vector"] for r in encode.one_hot_vectors(train, df, "s").collect()}
+    assert vectors["v0002"].size == 3000 and list(vectors["v0002"].indices) == [2]
+    assert vectors["new"].numNonzeros() == 0 and vectors[None].numNonzeros() == 0
 
 
 def test_scaling_uses_training_rows(spark):

@@ -53,6 +53,37 @@ def test_malformed_lines_do_not_depend_on_the_columns_used(spark, scratch):
     assert df.count() == 3 and df.select("name").count() == 3 and df.columns == ["id", "name", "v"]
 
 
+def test_malformed_reader_checks_the_header(spark, scratch):
+    Path(scratch, "a.csv").write_text("name,id,v\na,1,2\n")
+    with pytest.raises(Exception, match="CSV header|header"):
+        read_well_formed_csv(spark, scratch, SCHEMA).collect()
+
+
+def test_quoted_headers_line_breaks_and_empty_texts(spark, scratch):
+    Path(scratch, "a.csv").write_text('"id","name","v"\n1,"x\ny",2\n2,"",3\n3,\\N,4\n')
+    for reader in (read_csv, read_well_formed_csv):
+        rows = reader(spark, scratch, SCHEMA, multi_line=True).orderBy("id").collect()
+        assert [tuple(r) for r in rows] == [(1, "x\ny", 2), (2, "", 3), (3, None, 4)]
+    df = spark.createDataFrame([(1, "x\ny", 1), (2, "", 2), (3, None, 3)], SCHEMA)
+    write_csv(df, f"{scratch}/back")
+    assert read_csv(spark, f"{scratch}/back", SCHEMA, multi_line=True).orderBy("id").collect() == df.collect()
+
+
+def test_lines_are_parsed_once(spark, scratch):
+    Path(scratch, "a.csv").write_text("id,name,v\n1,a,2\nx,b,3\n")
+    plan = read_well_formed_csv(spark, scratch, SCHEMA).select("id")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate inline") == 1 and plan.count("Relation") == 1
+
+
+def test_scratch_tables_are_removed(spark):
+    with session.Scratch(spark) as scratch:
+        kept = scratch.keep(spark.range(3), "numbers")
+        assert kept.count() == 3
+        path = Path(scratch.paths[0].removeprefix("file:"))
+        assert path.is_dir()
+    assert not path.exists()
+
+
 def test_json_lines(spark, scratch):
     df = spark.createDataFrame([(1, "a/b", 2), (2, None, 3)], SCHEMA)
     write_json_lines(df, f"{scratch}/json")
