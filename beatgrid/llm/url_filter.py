@@ -1,13 +1,14 @@
 """URL filter: rules first, then the likelihood ratio of two character models.
 
 URLs that a rule decides are the training set: one variable-order Markov model for accepted and one for
-rejected URLs. Each predicts a character from up to three before it; the estimate of a context is blended
+rejected URLs. Each predicts a character from up to two before it; the estimate of a context is blended
 with that of the next shorter one, which weighs more the rarer the context is. A URL's score is the
 difference of the two log-likelihoods per character, and the threshold is the score that best separates the
 accepted from the rejected URLs of a fold held out from training.
 
-Characters are folded to 32 symbols, so the model has 32^4 entries whatever the table holds: this is the size
-bound of the one array that reaches every task. Counts are combined before the shuffle, over all URLs.
+Characters are folded to 32 symbols, so the model has 32^3 entries whatever the table holds: this is the size
+bound of the one table that is broadcast. Counts are combined before the shuffle, over all URLs, and each
+distinct URL is scored once.
 
 Defined results: a URL that is null or has no ``://`` has an empty host and path, no rule, and is allowed if
 the score of no characters, 0, is; without training URLs of both kinds every undecided URL is allowed;
@@ -32,8 +33,10 @@ RULES = (
 #: Symbol 0 stands before the first character, 31 for every character not listed.
 ALPHABET = "abcdefghijklmnopqrstuvwxyz0/.-"
 SYMBOLS = 32
-ORDER = 3
+ORDER = 2
 STRENGTH = 4.0
+#: Log ratios are kept as whole numbers of this fraction.
+UNIT = 1_000_000_000
 #: Every score is counted in steps of this size, within the bounds, to find the threshold.
 STEP, BOUND = 0.01, 5.0
 
@@ -56,7 +59,7 @@ def longest_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Colum
 
 
 def grams(url: Column) -> Column:
-    """For each character, the number made of the three symbols before it and its own."""
+    """For each character, the number made of the two symbols before it and its own."""
     at = F.coalesce(F.instr(url, F.lit("://")), F.lit(0))
     rest = F.when(at > 0, ascii_lower(F.substring(url, at + 3, F.length(url)))).otherwise("")
     folded = F.translate(rest, "123456789_", "000000000-")
@@ -79,7 +82,7 @@ def grams(url: Column) -> Column:
 
 
 def log_ratios(counts: DataFrame) -> DataFrame:
-    """One row with ``ratios``: ln of accepted over rejected probability for every gram; from (label, gram, n)."""
+    """(gram, ratio): ln of accepted over rejected probability, in units, for every gram; from (label, gram, n)."""
     spark = counts.sparkSession
     size = SYMBOLS ** (ORDER + 1)
     base = spark.range(size).withColumnRenamed("id", "gram").select("gram", F.lit(1 / SYMBOLS).alias("p"))
@@ -113,14 +116,17 @@ def log_ratios(counts: DataFrame) -> DataFrame:
                 for k in ("allow", "block")
             ),
         )
-    entries = model.select("gram", F.log(F.col("p_allow") / F.col("p_block")).alias("ratio"))
-    ordered = F.array_sort(F.collect_list(F.struct("gram", "ratio")))
-    return entries.agg(F.transform(ordered, lambda entry: entry["ratio"]).alias("ratios"))
+    ratio = F.round(F.log(F.col("p_allow") / F.col("p_block")) * UNIT)
+    return model.select("gram", ratio.cast("bigint").alias("ratio"))
 
 
-def _score(codes: Column, ratios: Column) -> Column:
-    total = F.aggregate(codes, F.lit(0.0), lambda sum_, code: sum_ + F.get(ratios, code))
-    return F.when(F.size(codes) > 0, total / F.size(codes)).otherwise(0.0)
+def scores(urls: DataFrame, model: DataFrame) -> DataFrame:
+    """(url, score) of the distinct URLs that have characters; whole units are summed, so order does not matter."""
+    opened = urls.where(F.col("url").isNotNull()).select("url").distinct()
+    steps = opened.select("url", F.explode(grams(F.col("url"))).alias("gram"))
+    joined = steps.join(F.broadcast(model), "gram")  # 32^3 rows at any size of the table
+    score = F.round(F.sum("ratio") / UNIT / F.count(F.lit(1)), 9)
+    return joined.groupBy("url").agg(score.alias("score"))
 
 
 def threshold(scored: DataFrame) -> DataFrame:
@@ -148,24 +154,21 @@ def filter_urls(pages: DataFrame, rules=RULES) -> DataFrame:
     host, path = host_and_path(F.col("url"))
     rule, decided = longest_rule(F.col("host"), F.col("path"), rules)
     parsed = pages.select("page_id", "url", host.alias("host"), path.alias("path")).withColumns(
-        {"rule": rule, "label": decided, "codes": grams(F.col("url"))}
+        {"rule": rule, "label": decided}
     )
     held_out = F.substring(F.md5(F.col("url").cast("binary")), 1, 1).isin("0", "1", "2")
     labelled = parsed.where(F.col("label").isNotNull())
     counts = (
         labelled.where(~held_out)
-        .select("label", F.explode("codes").alias("gram"))
+        .select("label", F.explode(grams(F.col("url"))).alias("gram"))
         .groupBy("label", "gram")
         .agg(F.count(F.lit(1)).alias("n"))
     )
     model = materialize(log_ratios(materialize(counts, "url-grams")), "url-model")
-    score = F.round(_score(F.col("codes"), F.col("_ratios")), 9)
-
-    def scored(rows: DataFrame) -> DataFrame:
-        return rows.withColumn("_ratios", model.scalar()).withColumn("score", score).drop("_ratios")
-
-    limit = materialize(threshold(scored(labelled.where(held_out)).select("label", "score")), "url-threshold")
-    own = F.when(F.col("score") >= limit.scalar(), "allow").otherwise("block")
-    return scored(parsed).select(
-        "page_id", "host", "path", "rule", F.coalesce("label", own).alias("verdict"), "score"
+    scored = materialize(scores(pages, model), "url-scores")
+    limit = materialize(threshold(labelled.where(held_out).join(scored, "url")), "url-threshold")
+    score = F.coalesce("score", F.lit(0.0))
+    own = F.when(score >= limit.scalar(), "allow").otherwise("block")
+    return parsed.join(scored, "url", "left").select(
+        "page_id", "host", "path", "rule", F.coalesce("label", own).alias("verdict"), score.alias("score")
     )
