@@ -1,13 +1,14 @@
 """N-gram Jaccard join: blocked sparse products of document by shingle incidence, within size-derived bounds.
 
 Rows of the incidence matrix are distinct shingle sets, so exact copies are one row however many there are.
-All sets order their shingles in the same way: shingles known to stand in many sets last, else by hash. Two
+All sets order their shingles in the same way: shingles that many documents hold last, else by hash. Two
 sets can reach the similarity only if they share a shingle among their first n - ceil(t n) + 1 (a prefix), if
 their sizes are near enough, and if what remains behind the shared shingle is long enough; other pairs are
-discarded by these bounds before any product.
+discarded by these bounds before any product. Overlap is accumulated over the prefixes first, and only pairs
+that can still reach the similarity are multiplied in full.
 
-A shingle's holders are a block. First the block's smallest document is multiplied with all others; links found
-give components. Only in blocks whose holders are not all in one component by then, the holders outside the
+A shingle's holders are a block. First the document in which it comes earliest, that with the fewest shingles of
+its own, is multiplied with all others; links found give components. Only in blocks whose holders are not all in one component by then, the holders outside the
 largest one are multiplied with the holders they are not yet joined to. So a group of many near copies costs
 products in proportion to its size, and no link between different components is lost.
 
@@ -21,6 +22,7 @@ empty table gives an empty table. Other columns are not read, and pass through :
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,12 +31,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from beatgrid.llm.hashing import joined_words, run_hashes, signed, word_hashes
-from beatgrid.session import materialize
+from beatgrid.session import Scratch, materialize
 
 SHINGLE_WORDS = 4
 PERCENT = 85
 COMMON_SHINGLES = 1_000_000
 COMMON_COUNT = 16
+#: Documents per part in which shingles are counted.
+PART_DOCUMENTS = 2_000
 
 
 def shingle_set(text: str | None, length: int = SHINGLE_WORDS) -> np.ndarray:
@@ -49,18 +53,89 @@ def shingle_set(text: str | None, length: int = SHINGLE_WORDS) -> np.ndarray:
     return np.unique(run_hashes(words, length).view(np.int64))
 
 
-def _ordered(shingles: np.ndarray, common: np.ndarray) -> np.ndarray:
-    """Shingles in the order all sets share: common ones last."""
-    if not len(common) or not len(shingles):
-        return shingles
-    place = np.minimum(np.searchsorted(common, shingles), len(common) - 1)
-    is_common = common[place] == shingles
-    return np.concatenate((shingles[~is_common], shingles[is_common]))
+class Common:
+    """Shingles that stand in many documents, by the leading bits of their hashes."""
 
+    def __init__(self, codes: np.ndarray, shift: int) -> None:
+        self.codes, self.shift = codes, np.uint64(shift)
 
-def _prefixes(documents: DataFrame, percent: int, length: int, common: np.ndarray | None) -> DataFrame:
+    def last(self, shingles: np.ndarray) -> np.ndarray:
+        """Ascending shingles in the order all sets share: common ones last."""
+        if not len(self.codes) or not len(shingles):
+            return shingles
+        codes = shingles.view(np.uint64) >> self.shift
+        place = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
+        common = self.codes[place] == codes
+        return np.concatenate((shingles[~common], shingles[common]))
+
+
+def common_shingles(documents: DataFrame, length: int, scratch: Scratch, most: int | None = None) -> Common:
+    """Shingles that at least COMMON_COUNT documents hold; at most ``most``.
+
+    All shingles of all texts are counted. A task combines the equal ones of many texts, parts the distinct ones
+    by leading bits of the hash and sends one packed row per part, 32 further bits and a count for each; there
+    are as many parts as keep each small.
+    """
+    most = COMMON_SHINGLES if most is None else most
+    bits = max(6, math.ceil(math.log2(max(1, documents.count()) / PART_DOCUMENTS + 1)))
+    shift = 64 - bits - 32
+
+    def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, size = [], 0
+
+        def parts() -> pd.DataFrame:
+            codes, counts = np.unique(np.concatenate(held).view(np.uint64) >> np.uint64(shift), return_counts=True)
+            part = (codes >> np.uint64(32)).astype(np.int64)
+            cuts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
+            ends = [*cuts[1:].tolist(), len(codes)]
+            rest, counts = codes.astype(np.uint32), np.minimum(counts, 255).astype(np.uint8)
+            return pd.DataFrame(
+                {
+                    "part": part[cuts],
+                    "codes": [rest[a:b].tobytes() for a, b in zip(cuts, ends)],
+                    "counts": [counts[a:b].tobytes() for a, b in zip(cuts, ends)],
+                }
+            )
+
+        for batch in batches:
+            for text in batch["text"]:
+                held.append(shingle_set(text, length))
+                size += len(held[-1])
+                if size > 4_000_000:
+                    yield parts()
+                    held, size = [], 0
+        if size:
+            yield parts()
+
+    def counted(part: pd.DataFrame) -> pd.DataFrame:
+        codes = np.frombuffer(b"".join(part["codes"]), dtype=np.uint32)
+        counts = np.frombuffer(b"".join(part["counts"]), dtype=np.uint8).astype(np.int64)
+        order = np.argsort(codes, kind="stable")
+        codes = codes[order]
+        first = np.flatnonzero(np.concatenate(([True], codes[1:] != codes[:-1])))
+        total = np.add.reduceat(counts[order], first)
+        many = total >= COMMON_COUNT
+        code = (part["part"].iloc[0] << 32) + codes[first][many].astype(np.int64)
+        return pd.DataFrame({"code": code, "n": total[many]})
+
+    rows = documents.select("text").mapInPandas(packed, "part bigint, codes binary, counts binary")
+    counts = scratch.keep(rows.groupBy("part").applyInPandas(counted, "code bigint, n bigint"), "common-shingles")
+    classes = counts.groupBy(F.floor(F.log2("n")).alias("power")).agg(F.count(F.lit(1)).alias("c")).collect()
+    total, least = 0, None
+    for row in sorted(classes, reverse=True):
+        total += row["c"]
+        if total > most:
+            break
+        least = 2 ** row["power"]
+    if least is None:
+        return Common(np.zeros(0, dtype=np.uint64), shift)
+    found = counts.where(F.col("n") >= least).select("code").toPandas()["code"]
+    return Common(np.sort(found.to_numpy(dtype=np.int64).view(np.uint64)), shift)
+
+
+def _prefixes(documents: DataFrame, percent: int, length: int, common: Common) -> DataFrame:
     """(doc_id, n, s1, s2, prefix): size of each set, its 128-bit name, and its first shingles."""
-    shared = documents.sparkSession.sparkContext.broadcast(common if common is not None else np.zeros(0, np.int64))
+    shared = documents.sparkSession.sparkContext.broadcast(common)
 
     def prefixes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -68,7 +143,7 @@ def _prefixes(documents: DataFrame, percent: int, length: int, common: np.ndarra
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
                 own = shingle_set(text, length)
                 n = len(own)
-                first = _ordered(own, shared.value)[: n - -(-percent * n // 100) + 1] if n else own
+                first = shared.value.last(own)[: n - -(-percent * n // 100) + 1] if n else own
                 rows.append((doc_id, n, *signed(own.tobytes(), 16), first))
             yield pd.DataFrame(rows, columns=["doc_id", "n", "s1", "s2", "prefix"])
 
@@ -76,24 +151,6 @@ def _prefixes(documents: DataFrame, percent: int, length: int, common: np.ndarra
     return documents.select("doc_id", "text").mapInPandas(prefixes, schema)
 
 
-def common_shingles(documents: DataFrame, percent: int, length: int, most: int = COMMON_SHINGLES) -> np.ndarray:
-    """Shingles that stand in many prefixes, ascending; at most ``most``."""
-    first = _prefixes(documents.where(F.col("doc_id").isNotNull()), percent, length, None)
-    counts = first.select(F.explode("prefix").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n"))
-    counts = materialize(counts.where(F.col("n") >= COMMON_COUNT), "common-shingles")
-    classes = counts.groupBy(F.floor(F.log2("n")).alias("power")).agg(F.count(F.lit(1)).alias("c")).collect()
-    total, least = 0, None
-    for row in sorted(classes, reverse=True):
-        total += row["c"]
-        if total > most:
-            break
-        least = 2 ** row["power"]
-    if least is None:
-        return np.zeros(0, dtype=np.int64)
-    found = counts.where(F.col("n") >= least).select("t").toPandas()["t"]
-    return np.sort(found.to_numpy(dtype=np.int64))
-
-
 def _sizes_fit(a: Column, b: Column, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
@@ -103,8 +160,24 @@ def _rest_fits(a: Column, at_a: Column, b: Column, at_b: Column, percent: int) -
     return F.least(a - at_a, b - at_b) * (100 + percent) >= (a + b) * percent
 
 
-def _products(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of the pairs that reach the similarity: sparse products by blocks of rows with one left side."""
+def _promising(pairs: DataFrame, ones: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose overlap within the prefixes leaves them a chance.
+
+    What two sets share beyond it lies behind the prefix that ends first, so it is at most the rest of one set."""
+    left, right = (ones.select(F.col("doc_id").alias(k), F.struct("n", "prefix").alias(f"_{k}")) for k in ("a", "b"))
+    both = pairs.join(right, "b").join(left, "a")
+    a, b = F.col("_a"), F.col("_b")
+    overlap = F.size(F.array_intersect(a["prefix"], b["prefix"]))
+    rest = F.greatest(a["n"] - F.size(a["prefix"]), b["n"] - F.size(b["prefix"]))
+    return both.where((overlap + rest) * (100 + percent) >= (a["n"] + b["n"]) * percent).select("a", "b").distinct()
+
+
+def _products(pairs: DataFrame, documents: DataFrame, length: int, percent: int) -> DataFrame:
+    """(a, b) of the pairs that reach the similarity: sparse products by blocks of rows with one left side.
+
+    Only texts of documents in a pair are turned into rows of the matrix."""
+    named = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    sets = _sets(documents.join(named, "doc_id"), length)
 
     def multiplied(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -138,22 +211,22 @@ def _products(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.select("a", "b", "key_a", "set_a", "set_b").mapInPandas(multiplied, "a bigint, b bigint").distinct()
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, component): every node of the links with the smallest node it is connected with.
 
     Each round every node joins its smallest neighbour and the links are drawn between those; the links left
     shrink by a factor, so the number of rounds follows the logarithm of the longest path.
     """
-    links = materialize(links.select(F.col("a").alias("u"), F.col("b").alias("v")).where("u <> v"), "links")
+    links = scratch.keep(links.select(F.col("a").alias("u"), F.col("b").alias("v")).where("u <> v"), "links")
     steps: list[DataFrame] = []
     while not links.isEmpty():
         both = links.select("u", "v").unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         joins = both.groupBy("u").agg(F.min("v").alias("least")).select("u", F.least("u", "least").alias("to"))
-        joins = materialize(joins, "component-step")
+        joins = scratch.keep(joins, "component-step")
         steps.append(joins)
         moved = links.join(joins, "u").select("v", F.col("to").alias("a"))
         moved = moved.join(joins.select(F.col("u").alias("v"), "to"), "v").select(F.col("a").alias("u"), F.col("to").alias("v"))
-        links = materialize(moved.where("u <> v").distinct(), "links")
+        links = scratch.keep(moved.where("u <> v").distinct(), "links")
     if not steps:
         return links.select(F.col("u").alias("node"), F.col("v").alias("component"))
     labels = steps[0].select(F.col("u").alias("node"), F.col("to").alias("component"))
@@ -162,46 +235,52 @@ def components(links: DataFrame) -> DataFrame:
         labels = labels.join(following, "component", "left").select(
             "node", F.coalesce("to", "component").alias("component")
         )
-    return materialize(labels, "components")
+    return scratch.keep(labels, "components")
 
 
 def linked(documents: DataFrame, percent: int = PERCENT, length: int = SHINGLE_WORDS) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
     documents = documents.select("doc_id", "text")
-    common = common_shingles(documents, percent, length)
-    rows = materialize(_prefixes(documents, percent, length, common), "shingle-prefixes")
+    with Scratch(documents.sparkSession) as scratch:
+        return materialize(_linked(documents, percent, length, scratch), "components")
+
+
+def _linked(documents: DataFrame, percent: int, length: int, scratch: Scratch) -> DataFrame:
+    common = common_shingles(documents, length, scratch)
+    rows = scratch.keep(_prefixes(documents, percent, length, common), "shingle-prefixes")
     full = rows.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
     classes = full.groupBy("s1", "s2").agg(F.min("doc_id").alias("one"))
-    classes = materialize(classes, "shingle-classes")
+    classes = scratch.keep(classes, "shingle-classes")
     ones = full.join(classes.select("s1", "s2", F.col("one").alias("doc_id")), ["s1", "s2", "doc_id"])
-    entries = ones.select("doc_id", "n", F.posexplode("prefix").alias("at", "t")).distinct()
-    counts = entries.groupBy("t").agg(
-        F.count(F.lit(1)).alias("c"), F.min(F.struct("doc_id", "n", "at")).alias("first")
+    ones = scratch.keep(ones, "shingle-rows")
+    entries = ones.select("doc_id", "n", F.posexplode("prefix").alias("at", "t"))
+    shared = entries.groupBy("t").agg(F.count(F.lit(1)).cast("int").alias("c")).where(F.col("c") > 1)
+    blocks = scratch.keep(entries.join(shared, "t"), "shingle-blocks")
+
+    first = blocks.groupBy("t").agg(F.min(F.struct("at", "doc_id", "n")).alias("first"))
+    start = F.col("first")
+    pairs = blocks.join(first, "t").where(
+        (start["doc_id"] != F.col("doc_id"))
+        & _sizes_fit(start["n"], F.col("n"), percent)
+        & _rest_fits(start["n"], start["at"], F.col("n"), F.col("at"), percent)
     )
-    blocks = materialize(entries.join(counts.where(F.col("c") > 1).select("t", "first"), "t"), "shingle-blocks")
-    texts = documents.join(blocks.select("doc_id").distinct(), "doc_id")
-    sets = materialize(_sets(texts, length), "shingle-sets")
-
-    first = F.col("first")
-    pairs = blocks.where(
-        (first["doc_id"] < F.col("doc_id"))
-        & _sizes_fit(first["n"], F.col("n"), percent)
-        & _rest_fits(first["n"], first["at"], F.col("n"), F.col("at"), percent)
-    )
-    pairs = materialize(pairs.select(first["doc_id"].alias("a"), F.col("doc_id").alias("b")).distinct(), "first-pairs")
-    links = _products(pairs, sets, percent)
+    ends = (start["doc_id"], F.col("doc_id"))
+    pairs = pairs.select(F.least(*ends).alias("a"), F.greatest(*ends).alias("b")).distinct()
+    pairs = scratch.keep(pairs, "first-pairs")
+    chosen = scratch.keep(_promising(pairs, ones, percent), "promising-pairs")
+    links = _products(chosen, documents, length, percent)
     several = full.join(classes, ["s1", "s2"]).groupBy("doc_id").agg(F.min("one").alias("a"), F.max("one").alias("b"))
-    links = materialize(links.unionByName(several.where("a <> b").select("a", "b")), "first-links")
-    labels = components(links)
+    links = scratch.keep(links.unionByName(several.where("a <> b").select("a", "b")), "first-links")
+    labels = components(links, scratch)
 
-    member = blocks.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
-        "t", "doc_id", "n", "at", F.coalesce("component", "doc_id").alias("component")
-    )
+    # In a block of two there is no pair left; in larger ones the first document is done.
+    member = blocks.where(F.col("c") > 2).join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    member = member.select("t", "doc_id", "n", "at", F.coalesce("component", "doc_id").alias("component"))
     sizes = member.groupBy("t", "component").agg(F.count(F.lit(1)).alias("c"))
     main = sizes.groupBy("t").agg(
         F.max_by("component", F.struct("c", "component")).alias("main"), F.count(F.lit(1)).alias("k")
     )
-    member = materialize(member.join(main.where(F.col("k") > 1).drop("k"), "t"), "open-blocks")
+    member = scratch.keep(member.join(main.where(F.col("k") > 1).drop("k"), "t"), "open-blocks")
     outside = member.where(F.col("component") != F.col("main")).alias("o")
     other = member.alias("m")
     unlike = (F.col("o.t") == F.col("m.t")) & (F.col("o.component") != F.col("m.component"))
@@ -212,10 +291,13 @@ def linked(documents: DataFrame, percent: int = PERCENT, length: int = SHINGLE_W
     more = outside.join(other, unlike & once & bounds).select(
         F.least("o.doc_id", "m.doc_id").alias("a"), F.greatest("o.doc_id", "m.doc_id").alias("b")
     )
-    more = materialize(more.distinct().join(pairs, ["a", "b"], "left_anti"), "second-pairs")
-    final = components(links.unionByName(_products(more, sets, percent)))
+    more = scratch.keep(more.distinct().join(pairs, ["a", "b"], "left_anti"), "second-pairs")
+    chosen = scratch.keep(_promising(more, ones, percent), "promising-pairs")
+    more_links = _products(chosen, documents, length, percent)
+    final = components(links.unionByName(more_links), scratch)
 
-    named = rows.join(classes, ["s1", "s2"], "left").join(final.withColumnRenamed("node", "one"), "one", "left")
+    named = rows.drop("prefix").join(classes, ["s1", "s2"], "left")
+    named = named.join(final.withColumnRenamed("node", "one"), "one", "left")
     own = F.when(F.col("n") > 0, F.coalesce("component", "one")).otherwise(F.col("doc_id"))
     return named.select(
         "doc_id",
