@@ -58,8 +58,8 @@ def longest_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Colum
     return rule, verdict
 
 
-def grams(url: Column) -> Column:
-    """For each character, the number made of the two symbols before it and its own."""
+def symbols(url: Column) -> Column:
+    """The folded characters after ``://`` as numbers, with those that stand before the first one."""
     at = F.coalesce(F.instr(url, F.lit("://")), F.lit(0))
     rest = F.when(at > 0, ascii_lower(F.substring(url, at + 3, F.length(url)))).otherwise("")
     folded = F.translate(rest, "123456789_", "000000000-")
@@ -69,16 +69,22 @@ def grams(url: Column) -> Column:
         return F.when(place > 0, place).otherwise(SYMBOLS - 1)
 
     own = F.transform(F.filter(F.split(folded, ""), lambda c: c != ""), symbol)
-    padded = F.concat(F.array(*(F.lit(0) for _ in range(ORDER))), own)
+    return F.concat(F.array(*(F.lit(0) for _ in range(ORDER))), own)
+
+
+def with_grams(urls: DataFrame) -> DataFrame:
+    """A row per character: ``gram``, the number made of the two symbols before it and its own.
+
+    The symbols are a column of their own first, so that they are found once per URL and not per character."""
+    numbered = urls.withColumn("_symbols", symbols(F.col("url")))
 
     def gram(index: Column) -> Column:
-        return sum(
-            (F.element_at(padded, (index + k).cast("int")) * SYMBOLS ** (ORDER - k) for k in range(ORDER + 1)),
-            F.lit(0),
-        )
+        parts = (F.get("_symbols", index + k) * SYMBOLS ** (ORDER - k) for k in range(ORDER + 1))
+        return sum(parts, F.lit(0))
 
-    last = F.size(own)
-    return F.when(last > 0, F.transform(F.sequence(F.lit(1), last), gram)).otherwise(F.array().cast("array<int>"))
+    last = F.size("_symbols") - ORDER - 1
+    codes = F.when(last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), gram))
+    return numbered.withColumn("gram", F.explode(codes)).drop("_symbols")
 
 
 def log_ratios(counts: DataFrame) -> DataFrame:
@@ -123,8 +129,7 @@ def log_ratios(counts: DataFrame) -> DataFrame:
 def scores(urls: DataFrame, model: DataFrame) -> DataFrame:
     """(url, score) of the distinct URLs that have characters; whole units are summed, so order does not matter."""
     opened = urls.where(F.col("url").isNotNull()).select("url").distinct()
-    steps = opened.select("url", F.explode(grams(F.col("url"))).alias("gram"))
-    joined = steps.join(F.broadcast(model), "gram")  # 32^3 rows at any size of the table
+    joined = with_grams(opened).join(F.broadcast(model), "gram")  # 32^3 rows at any size of the table
     score = F.round(F.sum("ratio") / UNIT / F.count(F.lit(1)), 9)
     return joined.groupBy("url").agg(score.alias("score"))
 
@@ -159,8 +164,7 @@ def filter_urls(pages: DataFrame, rules=RULES) -> DataFrame:
     held_out = F.substring(F.md5(F.col("url").cast("binary")), 1, 1).isin("0", "1", "2")
     labelled = parsed.where(F.col("label").isNotNull())
     counts = (
-        labelled.where(~held_out)
-        .select("label", F.explode(grams(F.col("url"))).alias("gram"))
+        with_grams(labelled.where(~held_out).select("label", "url"))
         .groupBy("label", "gram")
         .agg(F.count(F.lit(1)).alias("n"))
     )
