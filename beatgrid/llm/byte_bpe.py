@@ -153,17 +153,21 @@ class Codec:
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of one slice: adjacent parts of lowest rank are joined, leftmost first."""
-        ranks = self.ranks
+        ranks, none = self.ranks, 1 << 30
         if piece in ranks:
             return [ranks[piece]]
         if len(piece) > SHORT_PIECE:
             return self._merge_long(piece)
         parts = [piece[i : i + 1] for i in range(len(piece))]
-        while len(parts) > 1:
-            best, at = min(((ranks.get(a + b, 1 << 30), i) for i, (a, b) in enumerate(zip(parts, parts[1:]))))
-            if best == 1 << 30:
-                break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        pairs = [ranks.get(piece[i : i + 2], none) for i in range(len(piece) - 1)]
+        while pairs and (best := min(pairs)) < none:
+            at = pairs.index(best)
+            parts[at] += parts[at + 1]
+            del parts[at + 1], pairs[at]
+            if at:
+                pairs[at - 1] = ranks.get(parts[at - 1] + parts[at], none)
+            if at < len(pairs):
+                pairs[at] = ranks.get(parts[at] + parts[at + 1], none)
         return [ranks[part] for part in parts]
 
     def _merge_long(self, piece: bytes) -> list[int]:
