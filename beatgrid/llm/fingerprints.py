@@ -131,7 +131,8 @@ def compare_with_edited(documents: DataFrame, size: int = SIZE, shingle: int = S
     given = placed.where(F.col("_copy") == 1).select(
         F.col("_p_id").alias("_id"),
         F.col("_p_body").alias("_body"),
-        F.expr("substring(_text, 1, _need)").alias("_tail"),
+        # The length is named so that both uses of the texts in their places read one and the same shuffle.
+        F.expr("substring(_text, 1, least(_need, _n))").alias("_tail"),
         F.col("_sketch").alias("_next"),
     )
     head = F.expr("substring(_text, 1, cast(_n - floor(_n / 4) as int))")
