@@ -40,7 +40,8 @@ def op1_repetition(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
-    return url_filter.filter_urls(read_table(spark, folder, "pages"))
+    pages = read_table(spark, folder, "pages")
+    return url_filter.filter_urls(pages, order=url_filter.LONGEST, folded=False)
 
 
 @query

@@ -1,14 +1,20 @@
 """URL filter: rules first, then the likelihood ratio of two character models.
 
 URLs that a rule decides are the training set: one variable-order Markov model for accepted and one for
-rejected URLs. Each predicts a character from up to two before it; the estimate of a context is blended
-with that of the next shorter one, which weighs more the rarer the context is. A URL's score is the
-difference of the two log-likelihoods per character, and the threshold is the score that best separates the
-accepted from the rejected URLs of a fold held out from training.
+rejected URLs. Each predicts a character from up to ``LONGEST`` before it. The estimate of a context is blended
+with that of the next shorter one, which weighs more the rarer the context is, and a context never seen leaves
+the estimate of the longest one seen. A URL's score is the difference of the two log-likelihoods per character,
+and the threshold is the score that best separates the accepted from the rejected URLs of a fold held out from
+training.
 
-Characters are folded to 32 symbols, so the model has 32^3 entries whatever the table holds: this is the size
-bound of the one table that is broadcast. Counts are combined before the shuffle, over all URLs, and each
-distinct URL is scored once.
+The model is a table of (context and character, counts), as large as what the URLs hold: it grows with them, and is
+shuffled and joined by the context and character. Each length is joined with the next shorter one, where a key
+has at most as many rows as there are characters. Counts are combined before the shuffle, over all URLs, and each
+distinct URL is taken apart and scored once.
+
+``filter_urls`` reads characters as they are, and contexts of up to ``LONGEST``, with ``folded=False`` and
+``order=LONGEST``, as the query does. Its defaults are the small form: characters folded to 32 symbols, and
+``ORDER`` before each.
 
 Defined results: a URL that is null or has no ``://`` has an empty host and path, no rule, and is allowed if
 the score of no characters, 0, is; without training URLs of both kinds every undecided URL is allowed;
@@ -21,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from beatgrid.llm.text import ascii_lower
-from beatgrid.session import materialize
+from beatgrid.session import Scratch, materialize
 
 #: (verdict, host, path)
 RULES = (
@@ -30,10 +36,15 @@ RULES = (
     ("block", "example.com", "/de/"),
     ("allow", "org", "/fr/"),
 )
-#: Symbol 0 stands before the first character, 31 for every character not listed.
+#: Characters that folding keeps; all others become OTHER.
 ALPHABET = "abcdefghijklmnopqrstuvwxyz0/.-"
+OTHER = "?"
 SYMBOLS = 32
+#: Stands before the first character.
+START = "\x00"
+#: Characters before each one: in the small form, and in the query.
 ORDER = 2
+LONGEST = 5
 STRENGTH = 4.0
 #: Log ratios are kept as whole numbers of this fraction.
 UNIT = 1_000_000_000
@@ -58,67 +69,47 @@ def longest_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Colum
     return rule, verdict
 
 
-def symbols(url: Column) -> Column:
-    """The folded characters after ``://`` as numbers, with those that stand before the first one."""
+def characters(url: Column, folded: bool = True) -> Column:
+    """The characters after ``://``, folded or as they are."""
     at = F.coalesce(F.instr(url, F.lit("://")), F.lit(0))
-    rest = F.when(at > 0, ascii_lower(F.substring(url, at + 3, F.length(url)))).otherwise("")
-    folded = F.translate(rest, "123456789_", "000000000-")
-
-    def symbol(character: Column) -> Column:
-        place = F.instr(F.lit(ALPHABET), character)
-        return F.when(place > 0, place).otherwise(SYMBOLS - 1)
-
-    own = F.transform(F.filter(F.split(folded, ""), lambda c: c != ""), symbol)
-    return F.concat(F.array(*(F.lit(0) for _ in range(ORDER))), own)
-
-
-def with_grams(urls: DataFrame) -> DataFrame:
-    """A row per character: ``gram``, the number made of the two symbols before it and its own.
-
-    The symbols are a column of their own first, so that they are found once per URL and not per character."""
-    numbered = urls.withColumn("_symbols", symbols(F.col("url")))
-
-    def gram(index: Column) -> Column:
-        parts = (F.get("_symbols", index + k) * SYMBOLS ** (ORDER - k) for k in range(ORDER + 1))
-        return sum(parts, F.lit(0))
-
-    last = F.size("_symbols") - ORDER - 1
-    codes = F.when(last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), gram))
-    return numbered.withColumn("gram", F.explode(codes)).drop("_symbols")
-
-
-def log_ratios(counts: DataFrame) -> DataFrame:
-    """(gram, ratio): ln of accepted over rejected probability, in units, for every gram; from (label, gram, n)."""
-    spark = counts.sparkSession
-    size = SYMBOLS ** (ORDER + 1)
-    base = spark.range(size).withColumnRenamed("id", "gram").select("gram", F.lit(1 / SYMBOLS).alias("p"))
-    model = base.select("gram", F.col("p").alias("p_allow"), F.col("p").alias("p_block"))
-    for order in range(ORDER + 1):
-        width = SYMBOLS ** (order + 1)
-        part = counts.groupBy("label", (F.col("gram") % width).alias("_tail")).agg(F.sum("n").alias("n"))
-        context = Window.partitionBy("label", F.floor(F.col("_tail") / SYMBOLS))
-        part = part.withColumn("total", F.sum("n").over(context))
-        wide = part.groupBy("_tail").pivot("label", ["allow", "block"]).agg(F.max("n").alias("n"))
-        totals = (
-            part.groupBy(F.floor(F.col("_tail") / SYMBOLS).alias("_context"))
-            .pivot("label", ["allow", "block"])
-            .agg(F.max("total").alias("t"))
-            .select("_context", F.col("allow").alias("t_allow"), F.col("block").alias("t_block"))
-        )
-        model = (
-            model.withColumns(
-                {"_tail": F.col("gram") % width, "_context": F.floor((F.col("gram") % width) / SYMBOLS)}
+    rest = F.when(at > 0, F.substring(url, at + 3, F.length(url))).otherwise("")
+    if not folded:
+        return rest
+    return F.regexp_replace(F.translate(ascii_lower(rest), "123456789_", "000000000-"), r"[^a-z0/.\-]", OTHER)
+
+
+def with_grams(urls: DataFrame, order: int) -> DataFrame:
+    """A row per character of ``own``: ``gram``, the ``order`` characters before it and its own."""
+    padded = urls.withColumn("_padded", F.concat(F.lit(START * order), "own"))
+    last = F.length("own")
+    places = F.when(last > 0, F.sequence(F.lit(1), F.greatest(last, F.lit(1))))
+    grams = F.transform(places, lambda i: F.substring("_padded", i, F.lit(order + 1)))
+    return padded.select(*urls.columns, F.explode(grams).alias("gram"))
+
+
+def log_ratios(grams: DataFrame, order: int, symbols: int) -> DataFrame:
+    """(gram, ratio): ln of accepted over rejected probability, in units, for every gram; from (gram, allow, block),
+    the counts in accepted and rejected URLs, 0 where a gram is only in others; ``symbols`` is the number of
+    characters among which one of which nothing is known is drawn."""
+    model = None
+    for width in range(1, order + 2):
+        tail = F.substring(F.col("gram"), order + 2 - width, width)
+        level = grams.groupBy(tail.alias("gram")).agg(F.sum("allow").alias("allow"), F.sum("block").alias("block"))
+        level = level.withColumn("_context", F.substring(F.col("gram"), 1, width - 1))
+        # The empty context's rows are as many as there are characters, a longer one's at most that.
+        totals = level.groupBy("_context").agg(F.sum("allow").alias("t_allow"), F.sum("block").alias("t_block"))
+        level = level.join(totals, "_context")
+        if model is None:
+            level = level.withColumns({"b_allow": F.lit(1 / symbols), "b_block": F.lit(1 / symbols)})
+        else:
+            shorter = model.select(
+                F.col("gram").alias("_shorter"), F.col("p_allow").alias("b_allow"), F.col("p_block").alias("b_block")
             )
-            .join(wide, "_tail", "left")
-            .join(totals, "_context", "left")
-        )
-        model = model.select(
+            level = level.withColumn("_shorter", F.substring(F.col("gram"), 2, width - 1)).join(shorter, "_shorter")
+        model = level.select(
             "gram",
             *(
-                (
-                    (F.coalesce(F.col(k), F.lit(0)) + STRENGTH * F.col(f"p_{k}"))
-                    / (F.coalesce(F.col(f"t_{k}"), F.lit(0)) + STRENGTH)
-                ).alias(f"p_{k}")
+                ((F.col(k) + STRENGTH * F.col(f"b_{k}")) / (F.col(f"t_{k}") + STRENGTH)).alias(f"p_{k}")
                 for k in ("allow", "block")
             ),
         )
@@ -126,12 +117,12 @@ def log_ratios(counts: DataFrame) -> DataFrame:
     return model.select("gram", ratio.cast("bigint").alias("ratio"))
 
 
-def scores(urls: DataFrame, model: DataFrame) -> DataFrame:
-    """(url, score) of the distinct URLs that have characters; whole units are summed, so order does not matter."""
-    opened = urls.where(F.col("url").isNotNull()).select("url").distinct()
-    joined = with_grams(opened).join(F.broadcast(model), "gram")  # 32^3 rows at any size of the table
+def scores(urls: DataFrame, model: DataFrame, order: int) -> DataFrame:
+    """(url, score) of the URLs that have characters, from (id, url, own); whole units are summed, so the order of
+    rows does not matter. Both sides are shuffled by gram, ids in place of URLs."""
+    joined = with_grams(urls.select("id", "own"), order).select("id", "gram").join(model, "gram")
     score = F.round(F.sum("ratio") / UNIT / F.count(F.lit(1)), 9)
-    return joined.groupBy("url").agg(score.alias("score"))
+    return joined.groupBy("id").agg(score.alias("score")).join(urls.select("id", "url"), "id").select("url", "score")
 
 
 def threshold(scored: DataFrame) -> DataFrame:
@@ -154,7 +145,7 @@ def threshold(scored: DataFrame) -> DataFrame:
     return best.select((F.coalesce("s", F.lit(0)) * STEP).alias("threshold"))
 
 
-def filter_urls(pages: DataFrame, rules=RULES) -> DataFrame:
+def filter_urls(pages: DataFrame, rules=RULES, order: int = ORDER, folded: bool = True) -> DataFrame:
     """page_id, host, path, rule, verdict and score of every page."""
     host, path = host_and_path(F.col("url"))
     rule, decided = longest_rule(F.col("host"), F.col("path"), rules)
@@ -163,13 +154,24 @@ def filter_urls(pages: DataFrame, rules=RULES) -> DataFrame:
     )
     held_out = F.substring(F.md5(F.col("url").cast("binary")), 1, 1).isin("0", "1", "2")
     labelled = parsed.where(F.col("label").isNotNull())
-    counts = (
-        with_grams(labelled.where(~held_out).select("label", "url"))
-        .groupBy("label", "gram")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    model = materialize(log_ratios(materialize(counts, "url-grams")), "url-model")
-    scored = materialize(scores(pages, model), "url-scores")
+    with Scratch(pages.sparkSession) as scratch:
+        # A URL's rows all have its label; those that teach count as often as they stand in the table.
+        urls = parsed.where(F.col("url").isNotNull()).groupBy("url", "label").agg(F.count(F.lit(1)).alias("n"))
+        urls = urls.select(
+            F.monotonically_increasing_id().alias("id"),
+            "url",
+            characters(F.col("url"), folded).alias("own"),
+            *(F.when((F.col("label") == k) & ~held_out, F.col("n")).otherwise(0).alias(k) for k in ("allow", "block")),
+        )
+        urls = scratch.keep(urls, "url-list")  # ids are kept with it
+        grams = with_grams(urls.select("own", "allow", "block"), order).groupBy("gram")
+        grams = grams.agg(F.sum("allow").alias("allow"), F.sum("block").alias("block"))
+        grams = scratch.keep(grams, "url-grams")
+        own = F.substring(F.col("gram"), order + 1, 1)
+        taught = grams.where("allow + block > 0").select(own.alias("own"))
+        symbols = SYMBOLS if folded else taught.distinct().count() + 1
+        model = scratch.keep(log_ratios(grams, order, symbols), "url-model")
+        scored = materialize(scores(urls, model, order), "url-scores")
     limit = materialize(threshold(labelled.where(held_out).join(scored, "url")), "url-threshold")
     score = F.coalesce("score", F.lit(0.0))
     own = F.when(score >= limit.scalar(), "allow").otherwise("block")

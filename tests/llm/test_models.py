@@ -249,3 +249,51 @@ def test_urls_without_training_rows(spark):
     pages = spark.createDataFrame([(1, "http://a.com/x"), (2, None)], "page_id bigint, url string")
     assert {r["verdict"] for r in url_filter.filter_urls(pages).collect()} == {"allow"}
     assert url_filter.filter_urls(pages.where("false")).count() == 0
+
+
+def test_urls_by_long_contexts_of_unfolded_characters(spark, tmp_path):
+    """Accepted and rejected URLs that differ in digits, in non-ASCII letters, or in more than three characters."""
+    from beatgrid.llm.queries import QUERIES
+
+    draw = np.random.default_rng(6)
+    own = []
+    for i in range(300):
+        place = "".join(draw.choice(list("abcd"), 4))
+        for host, start, digit, letter, word in (
+            ("x.example.net", "/en/", "1", "é", "abcdx"),
+            ("x.example.com", "/de/", "2", "ü", "dcbax"),
+        ):
+            own.append(f"http://{host}{start}{place}{digit}{letter}{word}")
+    asked = ["http://y.info/1", "http://y.info/2", "http://y.info/é", "http://y.info/ü", "http://y.info/abcdx", "http://y.info/dcbax"]
+    rows = list(enumerate(own + asked))
+    spark.createDataFrame(rows, "page_id bigint, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    result = {r["page_id"]: r["score"] for r in QUERIES["op2_url_filter"](spark, str(tmp_path)).collect()}
+
+    order = url_filter.LONGEST
+    counts, total, met = Counter(), Counter(), set()
+    for url in own:
+        label = _rule(*_split(url))[1]
+        if sha_first(url) in "012":
+            continue
+        padded = ["\0"] * order + list(url.split("://", 1)[1])
+        met.update(padded[order:])
+        for i in range(order, len(padded)):
+            for k in range(order + 1):
+                gram = tuple(padded[i - k : i + 1])
+                counts[label, gram] += 1
+                total[label, gram[:-1]] += 1
+    for page, url in rows:
+        padded = ["\0"] * order + list(url.split("://", 1)[1])
+        score = 0.0
+        for i in range(order, len(padded)):
+            p = {}
+            for label in ("allow", "block"):
+                p[label] = 1 / (len(met) + 1)
+                for k in range(order + 1):
+                    gram = tuple(padded[i - k : i + 1])
+                    p[label] = (counts[label, gram] + 4.0 * p[label]) / (total[label, gram[:-1]] + 4.0)
+            score += math.log(p["allow"] / p["block"])
+        assert result[page] == pytest.approx(score / (len(padded) - order), abs=1e-6)
+    first = len(own)
+    for k in (0, 2, 4):
+        assert result[first + k] > result[first + k + 1] + 0.05
