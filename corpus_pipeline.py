@@ -16,6 +16,8 @@ from beatgrid.session import materialize
 from beatgrid.sources.parquet import read_table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+#: Near duplicates: Jaccard similarity of five-word shingles of 0.8 or more. 85 and 4 bind only op4's query.
+NEAR_PERCENT, NEAR_WORDS = 80, 5
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,7 +29,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return ngram_join.one_of_each(docs)
+    return ngram_join.one_of_each(docs, percent=NEAR_PERCENT, length=NEAR_WORDS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
