@@ -269,8 +269,12 @@ def _linked(documents: DataFrame, percent: int, length: int, scratch: Scratch) -
     pairs = scratch.keep(pairs, "first-pairs")
     chosen = scratch.keep(_promising(pairs, ones, percent), "promising-pairs")
     links = _products(chosen, documents, length, percent)
-    several = full.join(classes, ["s1", "s2"]).groupBy("doc_id").agg(F.min("one").alias("a"), F.max("one").alias("b"))
-    links = scratch.keep(links.unionByName(several.where("a <> b").select("a", "b")), "first-links")
+    # Rows of one doc_id with several texts: its smallest class is linked with every other one.
+    named = full.join(classes, ["s1", "s2"]).select("doc_id", "one")
+    several = named.groupBy("doc_id").agg(F.min("one").alias("a"), F.max("one").alias("_last"))
+    several = several.where("a <> _last").select("doc_id", "a")
+    star = named.distinct().join(several, "doc_id").where("one <> a").select("a", F.col("one").alias("b"))
+    links = scratch.keep(links.unionByName(star.distinct()), "first-links")
     labels = components(links, scratch)
 
     # In a block of two there is no pair left; in larger ones the first document is done.

@@ -495,7 +495,7 @@ def knn_proba(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def rf_proba(spark: SparkSession, folder: str) -> DataFrame:
     data = _stored(spark, folder)
-    return _long(_predicted(classifiers.random_forest(trees=20, depth=8).fit(_fit_rows(data)), data))
+    return _long(_predicted(classifiers.random_forest().fit(_fit_rows(data)), data))
 
 
 @query
@@ -509,13 +509,13 @@ def rf_proba_log2(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def rf_proba_one_hot(spark: SparkSession, folder: str) -> DataFrame:
     data = one_hot_matrices(*_split(spark, folder)).stored()
-    return _long(_predicted(classifiers.random_forest(trees=20, depth=8).fit(_fit_rows(data)), data))
+    return _long(_predicted(classifiers.random_forest().fit(_fit_rows(data)), data))
 
 
 @query
 def holdout_logloss(spark: SparkSession, folder: str) -> DataFrame:
     data = _stored(spark, folder)
-    model = classifiers.random_forest(trees=20, depth=8).fit(_fit_rows(data))
+    model = classifiers.random_forest().fit(_fit_rows(data))
     return evaluate.score(_predicted(model, data), LABEL).withColumn("log_loss", _rounded("log_loss"))
 
 
@@ -605,7 +605,7 @@ def mlp_proba(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def samme_proba(spark: SparkSession, folder: str) -> DataFrame:
     data = _stored(spark, folder)
-    model = boosting.fit_boosted_trees(_fit_rows(data), data.classes, rounds=12)
+    model = boosting.fit_boosted_trees(_fit_rows(data), data.classes)
     return _long(model.predict_proba(data.test, data.features, KEY))
 
 

@@ -208,6 +208,13 @@ def test_ngram_join_frequent_shingles_and_open_blocks(spark, monkeypatch):
     assert found(ngram_join.linked(df), "doc_id", "n_shingles", "component_id") == expected(linked(own))
 
 
+def test_ngram_join_links_every_text_of_a_doc_id(spark):
+    a, b, c, d = (" ".join(f"{k}{i}" for i in range(20)) for k in "abcd")
+    own = [(1, a), (3, b), (4, d), (5, a), (5, b), (5, c), (5, d), (6, "by itself")]
+    df = spark.createDataFrame(own, "doc_id bigint, text string")
+    assert found(ngram_join.linked(df), "doc_id", "n_shingles", "component_id") == expected(linked(own))
+
+
 def test_one_of_each_keeps_columns(documents, rows):
     kept = ngram_join.one_of_each(documents)
     assert kept.columns == documents.columns

@@ -1,0 +1,37 @@
+"""Queries without SQL fit the established settings, the defaults of the functions."""
+
+from __future__ import annotations
+
+from types import SimpleNamespace
+
+import pytest
+
+from beatgrid.operators import boosting, classifiers
+from beatgrid.plans import queries
+
+
+class Fitted(Exception):
+    pass
+
+
+@pytest.mark.parametrize("name", ["rf_proba", "rf_proba_one_hot", "holdout_logloss", "samme_proba"])
+def test_established_settings(monkeypatch, name):
+    data = SimpleNamespace(classes=["a", "b"])
+    data.stored = lambda: data
+    for loader in ("_stored", "_fit_rows", "one_hot_matrices"):
+        monkeypatch.setattr(queries, loader, lambda *a: data)
+    monkeypatch.setattr(queries, "_split", lambda *a: ())
+
+    def forest(trees=700, depth=13, **rest):
+        raise Fitted(trees, depth)
+
+    def boosted(rows, classes, rounds=600, depth=2, rate=1.5, seed=10):
+        raise Fitted(rounds, depth)
+
+    assert classifiers.random_forest.__defaults__[:2] == (700, 13)
+    assert boosting.fit_boosted_trees.__defaults__[:2] == (600, 2)
+    monkeypatch.setattr(classifiers, "random_forest", forest)
+    monkeypatch.setattr(boosting, "fit_boosted_trees", boosted)
+    with pytest.raises(Fitted) as seen:
+        queries.QUERIES[name](None, "")
+    assert seen.value.args == ((600, 2) if name == "samme_proba" else (700, 13))
