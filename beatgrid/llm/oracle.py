@@ -1,3 +1,17 @@
 """DuckDB SQL for the operators that SQL can express."""
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op13_exact_dedup": r"""
+        WITH normalised AS (
+            SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body FROM documents
+        )
+        SELECT
+            doc_id,
+            min(doc_id) OVER same AS keep_id,
+            count(*) OVER same AS group_size,
+            doc_id = min(doc_id) OVER same AS kept,
+            sha256(body) AS text_sha256
+        FROM normalised
+        WINDOW same AS (PARTITION BY body)
+    """,
+}

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from beatgrid.llm import (
     byte_bpe,
+    exact_dedup,
     fingerprints,
     line_dedup,
     mixing,
@@ -85,3 +86,8 @@ def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.repeat_digests(read_table(spark, folder, "documents"))
+
+
+@query
+def op13_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_dedup.owners(read_table(spark, folder, "documents"))
