@@ -17,6 +17,7 @@ from beatgrid.llm import (
     quality_classifier,
     repetition,
     substring_dedup,
+    token_alignment,
     toxicity,
     url_filter,
 )
@@ -24,6 +25,8 @@ from beatgrid.sources.parquet import read_table
 
 #: The rank file of the byte-level vocabulary.
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+#: The two tokenizers that are aligned.
+BYTE_LEVEL, PIECES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -88,6 +91,11 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.repeat_digests(read_table(spark, folder, "documents"))
 
 
+@query
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return token_alignment.statistics(read_table(spark, folder, "documents"), BYTE_LEVEL, PIECES)
+
+
 @query
 def op13_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.owners(read_table(spark, folder, "documents"))
