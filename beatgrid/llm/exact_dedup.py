@@ -34,13 +34,14 @@ from pyspark.sql.types import StructType
 from beatgrid.session import Scratch, materialize
 
 #: Bytes a trie may hold, its nodes included, before it gives up a subtree.
-TRIE_BYTES = 96 << 20
+TRIE_BYTES = 64 << 20
 #: Bytes of distinct texts that are dealt to one part of the owners.
-PART_BYTES = 32 << 20
+PART_BYTES = 16 << 20
 #: Rows that share one code.
 CODE_ROWS = 512
-#: Bytes of texts in one batch of output.
-BATCH_BYTES = 16 << 20
+#: Bytes of texts in one batch of output, and rows taken from a batch of input at once.
+BATCH_BYTES = 4 << 20
+SLICE = 500
 
 NODE_BYTES = 400
 LAST = (1 << 63) - 1
@@ -192,6 +193,13 @@ class Trie:
         return taken
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices, so that few texts are Python objects at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, SLICE):
+            yield batch.slice(start, SLICE)
+
+
 def _hash(sha: bytes) -> int:
     return int.from_bytes(sha[:8], "little", signed=True)
 
@@ -245,7 +253,7 @@ def _local(documents: DataFrame, carry: bool, trie_bytes: int = TRIE_BYTES) -> D
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types, base = _types(LOCAL), TaskContext.get().partitionId() << 33
         trie, seen, codes = Trie(trie_bytes), 0, 0
-        for batch in batches:
+        for batch in _slices(batches):
             if carry:
                 types["row"] = batch.column("row").type
             out = {name: [] for name in ("place", "code", "sha")}
@@ -280,7 +288,7 @@ def _own(classes: DataFrame, parts: int, trie_bytes: int) -> DataFrame:
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types, trie = _types(OWNED), Trie(trie_bytes)
-        for batch in batches:
+        for batch in _slices(batches):
             again = []
             for text, codes, least_id, least_place, rows in zip(
                 *(batch.column(name).to_pylist() for name in ("text", "codes", "least_id", "least_place", "n_rows"))
