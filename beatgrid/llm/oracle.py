@@ -1,6 +1,37 @@
 """DuckDB SQL for the operators that SQL can express."""
 
 ORACLE: dict[str, str] = {
+    "op12_lexical_search": r"""
+        WITH found AS (
+            SELECT doc_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM documents
+        ),
+        asked AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM benchmark
+        ),
+        occurrences AS (SELECT doc_id, term, count(*) AS tf FROM found GROUP BY doc_id, term),
+        sizes AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM occurrences GROUP BY doc_id),
+        whole AS (SELECT count(*) AS n_documents, sum(n)::BIGINT AS n_terms FROM sizes),
+        measured AS (SELECT doc_id, 100 - 90 + ((90 * n * n_documents) // n_terms) AS m FROM sizes, whole),
+        weights AS (
+            SELECT term, floor(1000 * ln((2 * n_documents + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+            FROM occurrences, whole GROUP BY term, n_documents
+        ),
+        scored AS (
+            SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+            FROM asked JOIN weights USING (term) JOIN occurrences USING (term) JOIN measured USING (doc_id)
+            GROUP BY item_id, doc_id
+        )
+        SELECT item_id, (row_number() OVER best)::INTEGER AS rank, doc_id, score
+        FROM scored WHERE score > 0
+        WINDOW best AS (PARTITION BY item_id ORDER BY score DESC, doc_id)
+        QUALIFY rank <= 10
+    """,
     "op13_exact_dedup": r"""
         WITH normalised AS (
             SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body FROM documents

@@ -11,6 +11,7 @@ from beatgrid.llm import (
     byte_bpe,
     exact_dedup,
     fingerprints,
+    lexical_search,
     line_dedup,
     mixing,
     ngram_join,
@@ -96,6 +97,11 @@ def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return token_alignment.statistics(read_table(spark, folder, "documents"), BYTE_LEVEL, PIECES)
 
 
+@query
+def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical_search.search(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+
+
 @query
 def op13_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.owners(read_table(spark, folder, "documents"))
