@@ -28,7 +28,8 @@ import hashlib
 import json
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -38,6 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from beatgrid.llm.batches import small_batches
 from beatgrid.operators.lookup import BROADCAST_BYTES, left_lookup
 from beatgrid.session import Scratch, materialize
 
@@ -50,6 +52,8 @@ LARGE_GROUP = 100_000
 #: Estimated bytes of a counted pair in a broadcast table.
 PAIR_BYTES = 48
 CUT = re.compile(r"(?<=\S) (?=\S)")
+#: Fixed value: the pattern by which byte-level vocabularies cut texts.
+BYTE_LEVEL_PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 STATISTICS = (
     "place bigint, doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, "
     "pairs array<bigint>, times array<bigint>"
@@ -77,7 +81,7 @@ def aligned_ends(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     at_a, at_b, lengths = [], [], []
     while i < n:
         if ends_a[i] == ends_b[j]:
-            low, step = 1, 2
+            low, step = 1, 4
             while True:  # the first `low` ends agree
                 part = one[8 * (i + low) : 8 * (i + low + step)]
                 if not part or part != two[8 * (j + low) : 8 * (j + low + step)]:
@@ -85,12 +89,14 @@ def aligned_ends(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
                 low += len(part) // 8
                 step *= 2
             step = min(step, n - i - low)
-            while step > 1:  # they differ within the next `step`
+            while step > 4:  # they differ within the next `step`
                 half = step // 2
                 if one[8 * (i + low) : 8 * (i + low + half)] == two[8 * (j + low) : 8 * (j + low + half)]:
                     low, step = low + half, step - half
                 else:
                     step = half
+            while step and ends_a[i + low] == ends_b[j + low]:
+                low, step = low + 1, step - 1
             at_a.append(i)
             at_b.append(j)
             lengths.append(low)
@@ -118,8 +124,8 @@ class Aligned:
 
     def __init__(self, both: Aligner, texts: list[str]) -> None:
         found = [both.encode(text) for text in texts]
-        self.a = np.array([i for ids, _ in found for i in ids], dtype=np.int64)
-        self.b = np.array([i for _, ids in found for i in ids], dtype=np.int64)
+        self.a = np.fromiter(chain.from_iterable(ids for ids, _ in found), dtype=np.int64)
+        self.b = np.fromiter(chain.from_iterable(ids for _, ids in found), dtype=np.int64)
         self.text_a = np.cumsum([0, *(len(ids) for ids, _ in found)])
         self.text_b = np.cumsum([0, *(len(ids) for _, ids in found)])
         ends_a, ends_b = np.cumsum(both.length_a[self.a]), np.cumsum(both.length_b[self.b])
@@ -192,19 +198,40 @@ def _runs(values: np.ndarray) -> Iterator[tuple[int, int]]:
         yield from zip(cuts, cuts[1:])
 
 
+def _encoder(table: bytes, read: dict, byte: dict[str, int], regular: bool) -> Callable[[str], list[int]]:
+    """Encodes by the JSON file; where that holds plain byte-level BPE whose merges stand in order of their ids, the
+    same tables are given to the faster of two libraries."""
+    model = read["model"]
+    plain = regular and model["type"] == "BPE" and not read["pre_tokenizer"].get("add_prefix_space")
+    plain = plain and not read.get("normalizer") and not model.get("ignore_merges") and not model.get("dropout")
+    pairs = [tuple(m.split(" ") if isinstance(m, str) else m) for m in model.get("merges", ())]
+    made = [model["vocab"].get(a + b, -1) for a, b in pairs]
+    plain = plain and made == list(range(256, 256 + len(made))) and len(model["vocab"]) == 256 + len(made)
+    if plain:
+        import tiktoken
+
+        ranks = {bytes(byte[c] for c in word): i for word, i in model["vocab"].items()}
+        return tiktoken.Encoding(
+            "given", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens={}
+        ).encode_ordinary
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    one = Tokenizer.from_buffer(table)
+    one.encode_special_tokens = True
+    return lambda text: one.encode(text, add_special_tokens=False).ids
+
+
 class Aligner:
     """Both tokenizers with the bytes of their tokens."""
 
     def __init__(self, table: bytes, model: bytes) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.one = Tokenizer.from_buffer(table)
-        self.one.encode_special_tokens = True
         self.two = sentencepiece.SentencePieceProcessor(model_proto=model)
         byte = _byte_of_character()
-        words = self.one.get_vocab(with_added_tokens=True)
+        read = json.loads(table)
+        words = dict(read["model"]["vocab"]) | {t["content"]: t["id"] for t in read.get("added_tokens") or ()}
         self.bytes_a = [b""] * (max(words.values()) + 1)
         for word, i in words.items():
             plain = all(c in byte for c in word)
@@ -215,9 +242,10 @@ class Aligner:
         self.length_b = np.array(list(map(len, self.bytes_b)), dtype=np.int64)
         ids = (range(len(self.bytes_a)), ",|"), (range(len(self.bytes_b)), ",;")
         self.names = [f"{i}{sign}".encode() for numbers, signs in ids for i in numbers for sign in signs]
-        before = json.loads(table).get("pre_tokenizer") or {}
+        before = read.get("pre_tokenizer") or {}
         regular = before.get("type") == "ByteLevel" and before.get("use_regex", True)
         self.cuts = regular and not any(re.search("[^▁]▁", piece) for piece in pieces)
+        self.encode_a = _encoder(table, read, byte, regular)
 
     def _segments(self, text: str) -> list[str]:
         """Pieces of a long text without the space between them, which each piece gets back in front."""
@@ -235,11 +263,11 @@ class Aligner:
             return [], []
         a, b = [], []
         for part in self._segments(text):
-            a += self.one.encode(" " + part, add_special_tokens=False).ids
+            a += self.encode_a(" " + part)
             b += self.two.encode(part, num_threads=1)
         data = b" " + text.encode("utf-8", "surrogatepass")
         for ids, tokens in ((a, self.bytes_a), (b, self.bytes_b)):
-            if b"".join([tokens[i] for i in ids]) != data:
+            if b"".join(map(tokens.__getitem__, ids)) != data:
                 return [], []
         return a, b
 
@@ -337,7 +365,7 @@ def statistics(
     """A row per document: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256."""
     files = _files(documents, json_path, model_path)
     width_b = len(_aligner(*files.value).length_b)
-    with Scratch(documents.sparkSession) as scratch:
+    with Scratch(documents.sparkSession) as scratch, small_batches(documents.sparkSession):
         rows = scratch.keep(_statistics(documents, files), "aligned")
         counts = scratch.keep(
             rows.select(F.explode("pairs").alias("pair")).groupBy("pair").agg(F.count("*").alias("n")), "pair-counts"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import random
 import re
 from collections import Counter, defaultdict
@@ -133,6 +134,17 @@ def test_small_pieces_and_large_groups(spark, both, monkeypatch):
             assert dict(zip(pairs[part].tolist(), times[part].tolist())) == own
 
 
+def test_both_ways_to_encode_agree(both):
+    with open(A_PATH, "rb") as file:
+        table = file.read()
+    read, byte = json.loads(table), token_alignment._byte_of_character()
+    fast = token_alignment._encoder(table, read, byte, True)
+    slow = token_alignment._encoder(table, read | {"normalizer": {"type": "NFC"}}, byte, True)
+    assert type(fast).__name__ == "method" and type(slow).__name__ == "function"
+    for _, text in _rows():
+        assert fast(" " + (text or "")) == slow(" " + (text or ""))
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.sets(st.integers(1, 200)), st.sets(st.integers(1, 200)), st.sets(st.integers(1, 200)))
 def test_groups_end_where_both_end(only_a, only_b, shared):
