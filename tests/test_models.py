@@ -4,6 +4,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from beatgrid.operators import boosting, classifiers, kernel_svm
@@ -68,15 +69,80 @@ def test_boosting(data, fit_rows):
     assert right >= 57
 
 
-def test_boosting_follows_the_weights(spark, fit_rows):
-    """The first rounds agree with the formulas worked out by hand on the same trees."""
-    from pyspark.ml.classification import DecisionTreeClassifier
-
-    model = boosting.fit_boosted_trees(fit_rows, CLASSES, rounds=2, depth=1, rate=1.5, seed=3)
-    tree = DecisionTreeClassifier(maxDepth=1, seed=3).fit(fit_rows)
-    rows = tree.transform(fit_rows)
-    error = rows.where("prediction <> label").count() / rows.count()
-    assert math.isclose(model.weights[0], 1.5 * (math.log((1 - error) / error) + math.log(2)))
+def plain_tree(x, y, w, depth, n_classes):
+    """A Gini tree by trying every threshold: nested (feature, threshold, left, right) or a class."""
+    share = np.bincount(y, w, n_classes)
+    best, found = (share**2).sum() / share.sum() * (1 + 1e-12), None
+    if depth:
+        for feature in range(x.shape[1]):
+            values = np.unique(x[:, feature])
+            for threshold in (values[:-1] + values[1:]) / 2:
+                left = x[:, feature] <= threshold
+                parts = [np.bincount(y[side], w[side], n_classes) for side in (left, ~left)]
+                score = sum((part**2).sum() / part.sum() for part in parts)
+                if score > best:
+                    best, found = score, (feature, threshold)
+    if found is None:
+        return int(share.argmax())
+    left = x[:, found[0]] <= found[1]
+    return (*found, *(plain_tree(x[side], y[side], w[side], depth - 1, n_classes) for side in (left, ~left)))
+
+
+def plain_class(tree, row):
+    while isinstance(tree, tuple):
+        tree = tree[2] if row[tree[0]] <= tree[1] else tree[3]
+    return tree
+
+
+def plain_samme(x, y, rounds, depth, rate, n_classes):
+    w, out = np.ones(len(x)), []
+    for _ in range(rounds):
+        tree = plain_tree(x, y, w, depth, n_classes)
+        missed = np.array([plain_class(tree, row) for row in x]) != y
+        error = w[missed].sum() / w.sum()
+        if error >= 1 - 1 / n_classes:
+            break
+        if error <= 0:
+            return [*out, (tree, 1.0)]
+        vote = rate * (math.log((1 - error) / error) + math.log(n_classes - 1))
+        out.append((tree, vote))
+        w = w * np.exp(vote * missed)
+        w *= len(x) / w.sum()
+    return out
+
+
+@pytest.mark.parametrize("depth, rate", [(1, 1.0), (2, 1.5), (3, 0.5)])
+def test_boosting_equals_plain_rounds(spark, depth, rate):
+    draw = np.random.default_rng(depth)
+    x = np.stack([draw.integers(0, 9, 300), draw.integers(0, 2, 300), draw.integers(0, 20, 300)], axis=1).astype(float)
+    y = ((x[:, 0] > 4) + (x[:, 2] > 11) * x[:, 1] + (draw.random(300) < 0.3)).astype(int) % 4
+    rows = [(float(label), Vectors.dense(values)) for label, values in zip(y, x)]
+    train = spark.createDataFrame(rows, ["label", "features"]).repartition(3)
+    model = boosting.fit_boosted_trees(train, ["a", "b", "c", "d"], rounds=60, depth=depth, rate=rate)
+    plain = plain_samme(x, y, 60, depth, rate, 4)
+    assert len(model.rounds) == len(plain) > 3
+    assert np.allclose([one.vote for one in model.rounds], [vote for _, vote in plain], rtol=1e-4, atol=1e-4)
+    votes = np.zeros((len(x), 4))
+    for tree, vote in plain:
+        votes[np.arange(len(x)), [plain_class(tree, row) for row in x]] += vote
+    assert np.allclose(model.votes(x), votes, rtol=1e-3, atol=1e-2)
+
+
+def test_boosting_is_the_same_on_any_layout(spark, fit_rows):
+    one, two = (
+        boosting.fit_boosted_trees(rows, CLASSES, rounds=40)
+        for rows in (fit_rows.repartition(1), fit_rows.repartition(7))
+    )
+    assert [r.vote for r in one.rounds] == [r.vote for r in two.rounds]
+
+
+def test_bins_are_values_or_equally_filled(spark):
+    rows = [(Vectors.dense(float(i % 3), float(i)),) for i in range(1_000)]
+    bins = boosting.fit_bins(spark.createDataFrame(rows, ["features"]), 10)
+    assert bins.thresholds[0].tolist() == [0.5, 1.5] and bins.width == 10
+    found = bins(np.array([[i % 3, i] for i in range(1_000)], dtype=float))
+    assert (found[:, 0] == np.arange(1_000) % 3).all()
+    assert abs(np.bincount(found[:, 1]) - 100).max() <= 1
 
 
 def test_kernel_svm(data):
