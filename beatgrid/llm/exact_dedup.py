@@ -31,12 +31,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from beatgrid.llm.batches import small_batches
 from beatgrid.session import Scratch, materialize
 
 #: Bytes a trie may hold, its nodes included, before it gives up a subtree.
-TRIE_BYTES = 64 << 20
+TRIE_BYTES = 24 << 20
 #: Bytes of distinct texts that are dealt to one part of the owners.
-PART_BYTES = 16 << 20
+PART_BYTES = 8 << 20
 #: Rows that share one code.
 CODE_ROWS = 512
 #: Bytes of texts in one batch of output, and rows taken from a batch of input at once.
@@ -341,7 +342,7 @@ def _resolved(
 def owners(documents: DataFrame, **sizes: int) -> DataFrame:
     """One row per row of ``documents``: doc_id, keep_id (null if no row of the group has an id), group_size, kept
     and text_sha256 of the normalised text."""
-    with Scratch(documents.sparkSession) as scratch:
+    with Scratch(documents.sparkSession) as scratch, small_batches(documents.sparkSession):
         rows = _resolved(documents, scratch, carry=False, **sizes)
         result = rows.select(
             "doc_id",
@@ -355,6 +356,6 @@ def owners(documents: DataFrame, **sizes: int) -> DataFrame:
 
 def without_copies(documents: DataFrame, **sizes: int) -> DataFrame:
     """The caller's rows that stay, with all their columns."""
-    with Scratch(documents.sparkSession) as scratch:
+    with Scratch(documents.sparkSession) as scratch, small_batches(documents.sparkSession):
         rows = _resolved(documents, scratch, carry=True, **sizes)
         return materialize(rows.where("kept").select("row.*"), "without-copies")
