@@ -32,6 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from beatgrid.llm.batches import small_batches
 from beatgrid.llm.text import CAPITALS, SMALL, ascii_lower
 from beatgrid.session import Scratch, materialize
 
@@ -273,7 +274,7 @@ def search(
     """The best ``top`` documents (doc_id, text) of each item (item_id, text): item_id, rank, doc_id, score."""
     spark = documents.sparkSession
     terms = F.filter(F.split(ascii_lower(F.col("text")), PARTING), lambda term: term != "")
-    with Scratch(spark) as scratch:
+    with Scratch(spark) as scratch, small_batches(spark):
         pairs = scratch.keep(items.select("item_id", F.explode(terms).alias("term")).distinct(), "item-terms")
         blocks = -(-pairs.count() // block_terms)
         results = []
