@@ -1,14 +1,17 @@
 """Mixing sources to target weights by Sainte-Laguë apportionment of equal-token blocks.
 
-Each source gets a target number of words; blocks of about ``block_words`` words are allocated to sources
-by highest quotients (votes / 1, 3, 5, ...), then within a source to its shards in the same way, so every
-shard ends with an integer quota. In a shard, documents stand in an order drawn by a seeded hash, their
-words are cut into equal blocks, and the quota picks blocks at even steps from a seeded start. No block is
-ever a row: how many words of a document lie in picked blocks follows from its first and last position.
+Each source gets a target number of words; words are allocated to sources by highest quotients (votes / 1, 3,
+5, ...), then within a source to its shards in the same way, so every shard ends with an integer quota of words and
+no source is too small for one. In a shard, documents stand in an order drawn by a seeded hash, and their words are
+cut into equal blocks; the quota takes the shard as a whole as often as it can, and for the rest blocks at even
+steps from a seeded start. Blocks have ``block_words`` words, or fewer where the rest would take less than
+``LEAST_BLOCKS`` of them, so what is taken is within 1 / (2 * ``LEAST_BLOCKS``) of any quota. No word or
+block is ever a row: how many words of a document lie in picked blocks follows from its first and last position.
 
 Defined results: a null text has size 0; rows with a null source form one source of their own, last in
-order; repeated rows are mixed as separate documents; an empty table gives an empty table. A caller's
-column named like a result column gives way to the result.
+order; repeated rows are mixed as separate documents; a very long text is cut at blocks as any other; an empty table
+gives an empty table. A caller's column named like a result column gives way to the result; names of other columns
+are free.
 """
 
 from __future__ import annotations
@@ -16,13 +19,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from beatgrid.llm.text import SPACE, WORD, with_result
-from beatgrid.session import materialize
+from beatgrid.llm.text import SPACE, WORD, Callers
+from beatgrid.session import Scratch, materialize
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 LIMIT = 2
 BLOCK_WORDS = 64
+LEAST_BLOCKS = 50
 SHARD_WORDS = 1_000_000
 SEED = 20_177
 
@@ -116,15 +120,24 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, limi
     return filled.withColumn("_full", full).select("_source", "source_size", F.round(target, 6).alias("target"))
 
 
-def _quotas(sizes: DataFrame, weights, share, limit, block_words, shard_words, seed) -> DataFrame:
-    """One row per shard: its size, its number of blocks, and how many of them the mix takes."""
-    targets = materialize(source_targets(sizes, weights, share, limit), "mix-targets")
+def _quotas(sizes: DataFrame, weights, share, limit, block_words, shard_words, seed, scratch: Scratch) -> DataFrame:
+    """One row per shard: its size, its number of blocks, how often the mix takes all of it, and of how many blocks
+    it takes one more.
+
+    A quota above ``limit`` times the shard's size can only be the odd word that rounding gives to a source at its
+    limit, all of whose shards are full, so nothing is to be handed on.
+    """
+    targets = scratch.keep(source_targets(sizes, weights, share, limit), "mix-targets")
     count = F.floor((F.col("source_size") + shard_words - 1) / shard_words)
-    blocks = F.floor(F.sum("target").over(Window.partitionBy("_all")) / block_words + 0.5)
+    words = F.floor(F.sum("target").over(Window.partitionBy("_all")) + 0.5)
     sources = apportion(
-        targets.withColumn("_all", F.lit(1)).withColumn("_blocks", blocks), ["_all"], "_source", "target", "_blocks"
+        targets.withColumn("_all", F.lit(1)).withColumn("_seats_of_all", words),
+        ["_all"],
+        "_source",
+        "target",
+        "_seats_of_all",
     ).select("_source", "source_size", "target", "_seats", F.greatest(count, F.lit(1)).alias("_shards"))
-    sources = materialize(sources, "mix-sources")
+    sources = scratch.keep(sources, "mix-sources")
     shards = (
         sizes.join(sources, "_source")
         .groupBy("_source", F.pmod(_number(F.col("_order")), F.col("_shards")).alias("_shard"))
@@ -134,9 +147,12 @@ def _quotas(sizes: DataFrame, weights, share, limit, block_words, shard_words, s
         )
         .withColumnRenamed("_seats", "_source_seats")
     )
-    shared = apportion(materialize(shards, "mix-shards"), ["_source"], "_shard", "_words", "_source_seats")
-    pieces = F.greatest(F.lit(1), F.least(F.col("_words"), F.floor(F.col("_words") / block_words + 0.5)))
+    shared = apportion(scratch.keep(shards, "mix-shards"), ["_source"], "_shard", "_words", "_source_seats")
+    quota, size = F.least(F.col("_seats"), limit * F.col("_words")), F.greatest(F.lit(1), F.col("_words"))
+    block = F.least(F.lit(block_words), F.greatest(F.lit(1), F.floor((quota % size) / LEAST_BLOCKS)))
+    pieces = F.greatest(F.lit(1), F.least(F.col("_words"), F.floor(F.col("_words") / block + 0.5)))
     key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("_source"), F.col("_shard").cast("string")).cast("binary"))
+    rest = F.floor((quota % size) * F.col("_pieces") / size + 0.5)
     return shared.withColumn("_pieces", pieces.cast("bigint")).select(
         "_source",
         "_shard",
@@ -145,15 +161,15 @@ def _quotas(sizes: DataFrame, weights, share, limit, block_words, shard_words, s
         F.col("target").alias("_target"),
         "_words",
         "_pieces",
-        F.least(F.col("_seats"), limit * F.col("_pieces")).alias("_quota"),
+        F.floor(quota / size).alias("_full"),
+        rest.cast("bigint").alias("_rest"),
         F.pmod(_number(key), F.col("_pieces")).alias("_start"),
     )
 
 
 def _picked(pieces: Column) -> Column:
     """How many of a shard's first blocks are picked once more than the others."""
-    extra = F.col("_quota") % F.col("_pieces")
-    return F.floor((pieces * extra + F.col("_start")) / F.col("_pieces"))
+    return F.floor((pieces * F.col("_rest") + F.col("_start")) / F.col("_pieces"))
 
 
 def _block(place: Column) -> Column:
@@ -173,23 +189,14 @@ def _taken_before(place: Column) -> Column:
     return whole + (_picked(block + 1) - _picked(block)) * inside
 
 
-def mix(
-    documents: DataFrame,
-    weights=WEIGHTS,
-    share: float = SHARE,
-    limit: int = LIMIT,
-    block_words: int = BLOCK_WORDS,
-    shard_words: int = SHARD_WORDS,
-    seed: int = SEED,
-) -> DataFrame:
-    """Adds size, source_size, target and taken (words the mix takes, repeats counted) to every document.
-
-    Only the columns used are carried through the shuffle by shard; ``_full`` says how often the whole text is
-    taken, and the underscored columns place the document in its shard for :func:`mixed_texts`.
-    """
+def _placed(documents: DataFrame, weights, share, limit, block_words, shard_words, seed) -> DataFrame:
+    """Documents with their place in a shard (_from), how often the whole text is taken (_full), and how many of its
+    words lie in blocks that are taken once more (_part). Only the columns used go through the shuffle by shard."""
     sized = _sized(documents, seed)
-    sizes = materialize(sized.select("_source", "_size", "_order"), "mix-sizes")
-    quotas = materialize(_quotas(sizes, weights, share, limit, block_words, shard_words, seed), "mix-quotas")
+    with Scratch(documents.sparkSession) as scratch:
+        sizes = scratch.keep(sized.select("_source", "_size", "_order"), "mix-sizes")
+        quotas = _quotas(sizes, weights, share, limit, block_words, shard_words, seed, scratch)
+        quotas = materialize(quotas, "mix-quotas")
     shard_counts = quotas.groupBy("_source").agg(F.first("_shards").alias("_shards"))
     placed = (
         sized.join(shard_counts, "_source")
@@ -201,21 +208,43 @@ def mix(
     end = F.sum("_size").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     placed = placed.withColumn("_from", end - F.col("_size"))
     part = _taken_before(F.col("_from") + F.col("_size")) - _taken_before(F.col("_from"))
-    passes = F.floor(F.col("_quota") / F.col("_pieces"))
-    placed = placed.withColumns({"_part": part, "_full": passes})
-    return with_result(
-        placed,
-        size=F.col("_size"),
-        source_size=F.col("_source_size"),
-        target=F.col("_target"),
-        taken=(F.col("_full") * F.col("_size") + F.col("_part")).cast("bigint"),
+    return placed.withColumn("_part", part)
+
+
+def mix(
+    documents: DataFrame,
+    weights=WEIGHTS,
+    share: float = SHARE,
+    limit: int = LIMIT,
+    block_words: int = BLOCK_WORDS,
+    shard_words: int = SHARD_WORDS,
+    seed: int = SEED,
+) -> DataFrame:
+    """The caller's columns with size, source_size, target and taken (words the mix takes, repeats counted)."""
+    callers = Callers(documents, "doc_id", "text", "source")
+    placed = _placed(callers.df, weights, share, limit, block_words, shard_words, seed)
+    return placed.select(
+        *callers.others("size", "source_size", "target", "taken"),
+        F.col("_size").alias("size"),
+        F.col("_source_size").alias("source_size"),
+        F.col("_target").alias("target"),
+        (F.col("_full") * F.col("_size") + F.col("_part")).cast("bigint").alias("taken"),
     )
 
 
-def mixed_texts(documents: DataFrame, **settings) -> DataFrame:
+def mixed_texts(
+    documents: DataFrame,
+    weights=WEIGHTS,
+    share: float = SHARE,
+    limit: int = LIMIT,
+    block_words: int = BLOCK_WORDS,
+    shard_words: int = SHARD_WORDS,
+    seed: int = SEED,
+) -> DataFrame:
     """The mix itself, with the columns of ``documents``: a text taken twice comes twice, and one that lies only
     partly in picked blocks is cut to the words in them; n_chars follows the text."""
-    placed = mix(documents, **settings)
+    callers = Callers(documents, "doc_id", "text", "source")
+    placed = _placed(callers.df, weights, share, limit, block_words, shard_words, seed)
     pieces = F.regexp_extract_all(F.col("text"), F.lit(f"[{SPACE}]*{WORD}"), F.lit(0))
 
     def picked(_, index):
@@ -227,6 +256,4 @@ def mixed_texts(documents: DataFrame, **settings) -> DataFrame:
     part = F.when(F.col("_part") == F.col("_size"), F.col("text")).otherwise(cut)
     copies = F.concat(whole, F.when(F.col("_part") > 0, F.array(part)).otherwise(F.array().cast("array<string>")))
     texts = placed.withColumn("_text", F.explode(copies))
-    n_chars = F.length("_text").cast("bigint")
-    new = {"text": F.col("_text"), "n_chars": n_chars}
-    return texts.select(*(new[n].alias(n) if n in new else F.col(f"`{n}`") for n in documents.columns))
+    return texts.select(*callers.columns(text=F.col("_text"), n_chars=F.length("_text").cast("bigint")))
