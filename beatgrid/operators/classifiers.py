@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Model, Pipeline, PipelineModel
+from pyspark.ml import Model
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     LogisticRegression,
@@ -18,9 +18,7 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import PCA, ElementwiseProduct, StandardScaler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import Vectors
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -101,31 +99,6 @@ def perceptron(inputs: int, classes: int, hidden: int = 8, iterations: int = 200
     return MultilayerPerceptronClassifier(layers=[inputs, hidden, classes], maxIter=iterations, seed=seed)
 
 
-def principal_components(k: int) -> Pipeline:
-    """Projection of the centred features on their first ``k`` components, as ``projected``."""
-    return Pipeline(
-        stages=[
-            StandardScaler(inputCol="features", outputCol="centred", withMean=True, withStd=False),
-            PCA(k=k, inputCol="centred", outputCol="projected"),
-        ]
-    )
-
-
-def fit_components(k: int, rows: DataFrame) -> PipelineModel:
-    """The projection with signs settled: the largest loading of every component is positive."""
-    fitted = principal_components(k).fit(rows)
-    loadings = fitted.stages[-1].pc.toArray()
-    largest = loadings[abs(loadings).argmax(axis=0), range(k)]
-    signs = Vectors.dense([1.0 if value >= 0 else -1.0 for value in largest])
-    turn = ElementwiseProduct(scalingVec=signs, inputCol="projected", outputCol="turned")
-    return PipelineModel([*fitted.stages, turn])
-
-
-def on_components(k: int, classifier) -> Pipeline:
-    """``classifier`` on the first ``k`` components."""
-    return Pipeline(stages=[*principal_components(k).getStages(), classifier.setFeaturesCol("projected")])
-
-
 def predict_proba(model: Model, df: DataFrame, features: Sequence[str], classes: Sequence[str], *kept: str) -> DataFrame:
     """``kept`` columns with the arrays ``classes`` and ``p``."""
     scored = model.transform(assemble(df, features, *kept))
@@ -144,12 +117,13 @@ def feature_importance(spark: SparkSession, model: Model, features: Sequence[str
 def cross_validate(
     train: DataFrame, estimator, folds: int = 4, seed: int = 10, metric: str = "accuracy", parallelism: int = 4
 ) -> DataFrame:
-    """(folds, metric, mean_score, std_score) over shuffled folds."""
+    """(folds, metric, mean_score, std_score) over the folds of a column ``fold``, or random ones without it."""
     validator = CrossValidator(
         estimator=estimator,
         estimatorParamMaps=ParamGridBuilder().build(),
         evaluator=MulticlassClassificationEvaluator(metricName=metric),
         numFolds=folds,
+        foldCol="fold" if "fold" in train.columns else "",
         seed=seed,
         parallelism=parallelism,
     )
@@ -167,7 +141,8 @@ def grid_search(
     seed: int = 10,
     parallelism: int = 4,
 ) -> DataFrame:
-    """(depth, trees, min_leaf, accuracy, is_best) for every setting of a random forest."""
+    """(depth, trees, min_leaf, accuracy, is_best) for every setting of a random forest, over the folds of a column
+    ``fold``, or random ones without it."""
     forest = random_forest(features="log2", seed=seed)
     settings = (
         ParamGridBuilder()
@@ -181,6 +156,7 @@ def grid_search(
         estimatorParamMaps=settings,
         evaluator=MulticlassClassificationEvaluator(metricName="accuracy"),
         numFolds=folds,
+        foldCol="fold" if "fold" in train.columns else "",
         seed=seed,
         parallelism=parallelism,
     ).fit(train)

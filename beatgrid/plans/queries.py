@@ -8,14 +8,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from beatgrid.functions import arrays, categories, dates, places
 from beatgrid.operators import boosting, classifiers, columns, counts, encode, evaluate, kernel_svm, neighbours, rows
 from beatgrid.operators.bayes import fit_naive_bayes
+from beatgrid.operators.components import Components, covariance, fit_components
 from beatgrid.operators.density import kernel_density
+from beatgrid.operators.exact_tree import ExactTree, fit_exact_tree
+from beatgrid.operators.folds import fold_accuracy, with_fold
+from beatgrid.operators.forest import StoredForest, fit_forest_in_blocks
 from beatgrid.operators.profile import fit_profile
 from beatgrid.plans.features import REQUIRED, add_features, build_features, decompose_dates
 from beatgrid.plans.matrices import KEY, LABEL, Matrices, label_encoded_matrices, one_hot_matrices
@@ -97,6 +103,19 @@ def csv_dropmalformed(spark: SparkSession, folder: str) -> DataFrame:
     return read_well_formed_csv(spark, path, RAW_INCIDENTS)
 
 
+@query
+def csv_existing_path(spark: SparkSession, folder: str) -> DataFrame:
+    """A sink that refuses a path that is there: nothing of the second table is written."""
+    path = fresh_path(spark, "once-csv")
+    write_csv(_train(spark, folder), path, mode="errorifexists")
+    try:
+        write_csv(_features(spark, folder), path, mode="errorifexists")
+        refused = False
+    except AnalysisException as error:
+        refused = error.getCondition() == "PATH_ALREADY_EXISTS"
+    return read_csv(spark, path, FEATURES).agg(F.lit(refused).alias("refused"), F.count("*").alias("n"))
+
+
 @query
 def rows_to_json(spark: SparkSession, folder: str) -> DataFrame:
     return jsonlines.rows_to_json(_features(spark, folder))
@@ -492,10 +511,14 @@ def knn_proba(spark: SparkSession, folder: str) -> DataFrame:
     return _long(neighbours.knn_proba(data.train, data.test, data.features, LABEL, KEY))
 
 
+def _voted(forest: StoredForest, data: Matrices) -> DataFrame:
+    return forest.predict_proba(data.test, data.features, data.classes, KEY, LABEL)
+
+
 @query
 def rf_proba(spark: SparkSession, folder: str) -> DataFrame:
     data = _stored(spark, folder)
-    return _long(_predicted(classifiers.random_forest().fit(_fit_rows(data)), data))
+    return _long(_voted(fit_forest_in_blocks(_fit_rows(data)), data))
 
 
 @query
@@ -509,34 +532,45 @@ def rf_proba_log2(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def rf_proba_one_hot(spark: SparkSession, folder: str) -> DataFrame:
     data = one_hot_matrices(*_split(spark, folder)).stored()
-    return _long(_predicted(classifiers.random_forest().fit(_fit_rows(data)), data))
+    return _long(_voted(fit_forest_in_blocks(_fit_rows(data)), data))
 
 
 @query
 def holdout_logloss(spark: SparkSession, folder: str) -> DataFrame:
     data = _stored(spark, folder)
-    model = classifiers.random_forest().fit(_fit_rows(data))
-    return evaluate.score(_predicted(model, data), LABEL).withColumn("log_loss", _rounded("log_loss"))
+    voted = _voted(fit_forest_in_blocks(_fit_rows(data)), data)
+    return evaluate.score(voted, LABEL).withColumn("log_loss", _rounded("log_loss"))
+
+
+def _tree(data: Matrices, **settings) -> ExactTree:
+    return fit_exact_tree(data.train, data.features, LABEL, data.classes, **settings)
 
 
 @query
 def dtree_proba(spark: SparkSession, folder: str) -> DataFrame:
-    data = _stored(spark, folder)
-    return _long(_predicted(classifiers.decision_tree().fit(_fit_rows(data)), data))
+    """The established tree: depth 2, leaves of 20 rows, splits of 100, a root's number of features at each node."""
+    data = _label_encoded(spark, folder)
+    return _long(_tree(data).predict_proba(data.test, KEY))
 
 
 @query
 def dtree_proba_all_features(spark: SparkSession, folder: str) -> DataFrame:
-    data = _stored(spark, folder)
-    tree = classifiers.decision_tree(depth=4, min_leaf=5, features="all")
-    return _long(_predicted(tree.fit(_fit_rows(data)), data))
+    data = _label_encoded(spark, folder)
+    tree = _tree(data, depth=4, min_leaf=5, min_split=2, draw="all")
+    return _long(tree.predict_proba(data.test, KEY))
 
 
 @query
 def feature_importance(spark: SparkSession, folder: str) -> DataFrame:
     """Importances of the established tree, the one of ``dtree_proba``."""
-    data = _stored(spark, folder)
-    return classifiers.feature_importance(spark, classifiers.decision_tree().fit(_fit_rows(data)), data.features)
+    importances = _tree(_label_encoded(spark, folder)).importances(spark)
+    return importances.withColumn("importance", _rounded("importance"))
+
+
+@query
+def feature_importance_all_features(spark: SparkSession, folder: str) -> DataFrame:
+    tree = _tree(_label_encoded(spark, folder), depth=4, min_leaf=5, min_split=2, draw="all")
+    return tree.importances(spark).withColumn("importance", _rounded("importance"))
 
 
 @query
@@ -556,17 +590,23 @@ def logreg_proba_l2(spark: SparkSession, folder: str) -> DataFrame:
     return _long(_predicted(estimator.fit(_fit_rows(data)), data))
 
 
-@query
-def pca_project(spark: SparkSession, folder: str) -> DataFrame:
-    data = _stored(spark, folder)
-    return _projected(data, 6)
+def _components(data: Matrices, k: int) -> Components:
+    return fit_components(data.train, data.features, k)
+
 
+def _projected(data: Matrices, k: int, digits: int = DIGITS) -> DataFrame:
+    values = F.array(*_components(data, k).values())
+    projected = data.test.select(KEY, F.posexplode(values).alias("pos", "p"))
+    return projected.withColumn("p", F.round("p", digits))
 
-def _projected(data: Matrices, k: int) -> DataFrame:
-    model = classifiers.fit_components(k, _fit_rows(data))
-    projected = model.transform(encode.assemble(data.test, data.features, KEY))
-    values = classifiers.vector_to_array("turned").alias("values")
-    return _elements(projected.select(KEY, values), "values", KEY)
+
+def _on_components(data: Matrices, k: int) -> Matrices:
+    """The projections of both parts in place of the features."""
+    components = _components(data, k)
+    names = [f"component{i}" for i in range(k)]
+    columns = [value.alias(name) for value, name in zip(components.values(), names)]
+    train, test = (part.select(KEY, LABEL, *columns) for part in (data.train, data.test))
+    return Matrices(train, test, names, data.classes).stored()
 
 
 def _only(data: Matrices, *features: str) -> Matrices:
@@ -574,25 +614,53 @@ def _only(data: Matrices, *features: str) -> Matrices:
     return Matrices(data.train, data.test, list(features), data.classes)
 
 
+@query
+def pca_project(spark: SparkSession, folder: str) -> DataFrame:
+    return _projected(_label_encoded(spark, folder), 6)
+
+
 @query
 def pca_plane(spark: SparkSession, folder: str) -> DataFrame:
     """Both components of the coordinates, which have a closed form; to five places."""
-    plane = _projected(_only(_stored(spark, folder), "X", "Y"), 2)
-    return plane.withColumn("p", F.round("p", 5))
+    return _projected(_only(_label_encoded(spark, folder), "X", "Y"), 2, digits=5)
+
+
+@query
+def pca_covariance(spark: SparkSession, folder: str) -> DataFrame:
+    """The matrix that the components are taken from."""
+    data = _label_encoded(spark, folder)
+    matrix = covariance(data.train, data.features)[1]
+    cells = [(a, b, float(matrix[i, j])) for i, a in enumerate(data.features) for j, b in enumerate(data.features)]
+    return spark.createDataFrame(cells, "a string, b string, v double").withColumn("v", F.round("v", 7))
+
+
+@query
+def pca_variances(spark: SparkSession, folder: str) -> DataFrame:
+    """What the test of components can say in closed form: their variances add up to that of the features, they fall,
+    and the projections of the training rows have them."""
+    data = _label_encoded(spark, folder)
+    components = _components(data, len(data.features))
+    spread = data.train.agg(*(F.var_samp(value).alias(f"v{i}") for i, value in enumerate(components.values()))).first()
+    pairs = list(zip(spread, components.variances))
+    same = all(abs(found - own) <= 1e-6 * max(1.0, own) for found, own in pairs)
+    falling = all(a >= b for a, b in zip(components.variances, components.variances[1:]))
+    row = (len(data.features), float(components.variances.sum()), bool(falling), bool(same))
+    schema = "n int, total double, falling boolean, same boolean"
+    return spark.createDataFrame([row], schema).withColumn("total", F.round("total", 5))
 
 
 @query
 def pca_logreg(spark: SparkSession, folder: str) -> DataFrame:
-    data = _stored(spark, folder)
+    data = _on_components(_label_encoded(spark, folder), 6)
     estimator = classifiers.logistic_regression(data.train.count(), penalty="l2", iterations=100)
-    return _long(_predicted(classifiers.on_components(6, estimator).fit(_fit_rows(data)), data))
+    return _long(_predicted(estimator.fit(_fit_rows(data)), data))
 
 
 @query
 def pca_forest(spark: SparkSession, folder: str) -> DataFrame:
-    data = _stored(spark, folder)
+    data = _on_components(_label_encoded(spark, folder), 10)
     forest = classifiers.random_forest(trees=100, depth=13, features="log2")
-    return _long(_predicted(classifiers.on_components(10, forest).fit(_fit_rows(data)), data))
+    return _long(_predicted(forest.fit(_fit_rows(data)), data))
 
 
 @query
@@ -616,6 +684,19 @@ def stump_boosting_proba(spark: SparkSession, folder: str) -> DataFrame:
     return _long(model.predict_proba(data.test, data.features, KEY))
 
 
+@query
+def samme_binary_rounds(spark: SparkSession, folder: str) -> DataFrame:
+    """The first rounds of stumps on a single 0/1 feature, which have a closed form."""
+    data = _only(_label_encoded(spark, folder), "BlockOrJunc")
+    model = boosting.fit_boosted_trees(_fit_rows(data), data.classes, rounds=4, depth=1, rate=1.0)
+    voted = [
+        (number, *(data.classes[int(c)] for c in one.tree.classes(model.bins(np.array([[0.0], [1.0]])))), one.vote)
+        for number, one in enumerate(model.rounds, start=1)
+    ]
+    schema = "round int, at_junction_0 string, at_junction_1 string, vote double"
+    return spark.createDataFrame(voted, schema).withColumn("vote", F.round("vote", 5))
+
+
 @query
 def svm_ovr(spark: SparkSession, folder: str) -> DataFrame:
     scaled = _scaled(_stored(spark, folder)).stored()
@@ -627,7 +708,14 @@ def svm_ovr(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def grid_search(spark: SparkSession, folder: str) -> DataFrame:
-    return classifiers.grid_search(_fit_rows(_stored(spark, folder)))
+    data = _stored(spark, folder)
+    return classifiers.grid_search(_fit_rows_in_folds(data, 3))
+
+
+def _fit_rows_in_folds(data: Matrices, folds: int) -> DataFrame:
+    """Training rows with the fold that the key gives them."""
+    coded = data.train.withColumn("label", encode.code_of(F.col(LABEL), data.classes).cast("double"))
+    return encode.assemble(with_fold(coded, KEY, folds), data.features, "label", "fold")
 
 
 @query
@@ -635,4 +723,15 @@ def cross_validate(spark: SparkSession, folder: str) -> DataFrame:
     """The network on four folds."""
     scaled = _scaled(_stored(spark, folder)).stored()
     network = classifiers.perceptron(len(scaled.features), len(scaled.classes))
-    return classifiers.cross_validate(_fit_rows(scaled), network)
+    return classifiers.cross_validate(_fit_rows_in_folds(scaled, 4), network)
+
+
+@query
+def cross_validate_bayes(spark: SparkSession, folder: str) -> DataFrame:
+    """The same four folds for a model in closed form: rows and rows told right in each."""
+    data = _absolute(_label_encoded(spark, folder))
+
+    def predict(train: DataFrame, test: DataFrame) -> DataFrame:
+        return fit_naive_bayes(train, data.features, LABEL).predict_proba(test, KEY, LABEL)
+
+    return fold_accuracy(materialize(with_fold(data.train, KEY, 4), "folds"), LABEL, 4, predict)

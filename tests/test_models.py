@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 import math
 
 import numpy as np
@@ -7,10 +8,12 @@ import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from beatgrid.operators import boosting, classifiers, kernel_svm
+from beatgrid.operators import boosting, classifiers, components, exact_tree, folds, kernel_svm
 from beatgrid.operators.bayes import fit_naive_bayes
 from beatgrid.operators.encode import fit_vocabulary
+from beatgrid.operators.forest import fit_forest_in_blocks
 from beatgrid.operators.evaluate import log_loss, long_form, score, true_probability
+from beatgrid.plans import matrices
 
 FEATURES = ["x", "y"]
 CLASSES = ["blue", "green", "red"]
@@ -53,7 +56,6 @@ def test_ml_models_separate_the_clouds(data, fit_rows):
         classifiers.logistic_regression(120, "l1", iterations=50),
         classifiers.logistic_regression(120, "l2", 0.6, iterations=50),
         classifiers.perceptron(2, 3),
-        classifiers.on_components(2, classifiers.logistic_regression(120, "l2", iterations=50)),
     ]
     for estimator in estimators:
         model = estimator.fit(fit_rows)
@@ -150,6 +152,89 @@ def test_kernel_svm(data):
     good(model.predict_proba(data[1], "id", "label"), bound=0.8)
 
 
+def test_margins_are_at_the_least_loss_of_each_class(spark):
+    draw = np.random.default_rng(3)
+    x = draw.normal(size=(200, 2))
+    y = np.where(x[:, 0] ** 2 + x[:, 1] ** 2 < 1, 0, np.where(x[:, 0] > 0, 1, 2))
+    rows = [(*map(float, v), CLASSES[k]) for v, k in zip(x, y)]
+    train = spark.createDataFrame(rows, "x double, y double, label string").repartition(4)
+    model = kernel_svm.fit_kernel_svm(train, FEATURES, "label", CLASSES, 200, outputs=24, tolerance=1e-12)
+    waves = model.projection.waves(x)
+    for k in range(3):  # each class alone
+        side = np.where(y == k, 1.0, -1.0)
+        margin = side * (waves @ model.weights[:, k] + model.offsets[k])
+        bend = kernel_svm.rounded_hinge(margin)[1] * side
+        slope = waves.T @ bend / 200 + model.weights[:, k] / 200
+        assert abs(slope).max() < 1e-3 and abs(bend.mean()) < 1e-3
+    found = model.predict_proba(train, "x", "y", "label").collect()
+    assert np.mean([CLASSES[int(np.argmax(r["p"]))] == r["label"] for r in found]) > 0.93
+
+
+def test_rounded_hinge():
+    t = np.linspace(-3, 4, 701)
+    loss, bend = kernel_svm.rounded_hinge(t)
+    assert np.allclose(loss[t < 0.5], 1 - t[t < 0.5]) and not loss[t > 1.5].any()
+    assert np.allclose(np.gradient(loss, t)[1:-1], bend[1:-1], atol=0.01)
+
+
+def test_minimise_finds_the_least_value():
+    scale = np.array([1.0, 50.0, 0.1])
+    found = kernel_svm.minimise(lambda v: (float((scale * (v - 2) ** 2).sum()), 2 * scale * (v - 2)), np.zeros(3), 60, 0.0)
+    assert np.allclose(found, 2, atol=1e-4)
+
+
+def plain_exact_tree(x, y, n_classes, depth, min_leaf, min_split, allowed, node=1):
+    """node -> (feature, threshold) and node -> class counts."""
+    own = np.bincount(y, minlength=n_classes)
+    splits, counts = {}, {node: own.tolist()}
+    best, found = (own**2).sum() / max(1, own.sum()) + 1e-9, None
+    if depth and own.sum() >= min_split and (own > 0).sum() > 1:
+        for feature in allowed(node):
+            values = np.unique(x[:, feature])
+            for threshold in (values[:-1] + values[1:]) / 2:
+                left = x[:, feature] <= threshold
+                if min(left.sum(), (~left).sum()) >= min_leaf:
+                    parts = [np.bincount(y[side], minlength=n_classes) for side in (left, ~left)]
+                    score = sum((part**2).sum() / part.sum() for part in parts)
+                    if score > best:
+                        best, found = score, (feature, threshold)
+    if found:
+        splits[node] = found
+        left = x[:, found[0]] <= found[1]
+        for side, child in ((left, 2 * node), (~left, 2 * node + 1)):
+            more = plain_exact_tree(x[side], y[side], n_classes, depth - 1, min_leaf, min_split, allowed, child)
+            splits.update(more[0])
+            counts.update(more[1])
+    return splits, counts
+
+
+@pytest.mark.parametrize("depth, min_leaf, min_split, pick", [(2, 20, 100, "sqrt"), (4, 5, 2, "all"), (3, 1, 2, "sqrt")])
+def test_exact_tree_equals_trying_every_threshold(spark, depth, min_leaf, min_split, pick):
+    draw = np.random.default_rng(depth)
+    names = ["a", "b", "c", "d", "e"]
+    x = np.stack([draw.integers(0, 300, 600), draw.normal(size=600), *(draw.integers(0, 4, 600) for _ in range(3))], axis=1)
+    y = ((x[:, 0] > 120).astype(int) + (x[:, 1] > 0.3) * (x[:, 2] > 1) + (draw.random(600) < 0.2)) % 3
+    rows = [(*map(float, v), CLASSES[k]) for v, k in zip(x, y)]
+    train = spark.createDataFrame(rows, ", ".join(f"{n} double" for n in names) + ", label string").repartition(6)
+    tree = exact_tree.fit_exact_tree(train, names, "label", CLASSES, depth, min_leaf, min_split, pick, seed=7)
+    how_many = 5 if pick == "all" else 2
+    splits, counts = plain_exact_tree(
+        x, y, 3, depth, min_leaf, min_split, lambda node: exact_tree.drawn_features(names, node, 7, how_many)
+    )
+    assert splits and {n: (s.feature, s.threshold) for n, s in tree.splits.items()} == splits
+    assert tree.counts == counts
+    found = tree.predict_proba(train, "label").agg(F.sum(F.get("p", F.lit(0)))).first()[0]
+    assert math.isclose(found, (y == 0).sum())
+    ranked = tree.importances(spark).collect()
+    assert len(ranked) == 5 and math.isclose(sum(r["importance"] for r in ranked), 1)
+
+
+def test_exact_tree_without_a_split(spark):
+    train = spark.createDataFrame([(1.0, "blue"), (1.0, "red")], "x double, label string")
+    tree = exact_tree.fit_exact_tree(train, ["x"], "label", CLASSES, min_leaf=1, min_split=2)
+    assert not tree.splits and tree.predict_proba(train).first()["p"] == [0.5, 0.0, 0.5]
+
+
 def test_fourier_features_approach_the_kernel():
     features = kernel_svm.fourier_features(3, outputs=20_000, gamma=0.4)
     x = np.random.default_rng(2).normal(size=(6, 3))
@@ -205,11 +290,65 @@ def test_importance_search_and_folds(spark, data, fit_rows):
     assert folds["folds"] == 4 and folds["mean_score"] > 0.9
 
 
-def test_projection_is_centred_and_ordered(data, fit_rows):
-    model = classifiers.principal_components(2).fit(fit_rows)
-    rows = np.array([r["projected"].toArray() for r in model.transform(fit_rows).select("projected").collect()])
-    x = np.array([r["features"].toArray() for r in fit_rows.collect()])
-    assert np.allclose(rows.mean(axis=0), 0)
-    spread = np.sqrt(np.linalg.eigvalsh(np.cov(x.T))[::-1])
-    assert np.allclose(rows.std(axis=0, ddof=1), spread)
+def test_projection_is_centred_and_ordered(data):
+    rows = data[0].select(*FEATURES)
+    x = np.array([tuple(r) for r in rows.collect()])
+    found, again = (components.fit_components(part, FEATURES, 2) for part in (rows.repartition(1), rows.repartition(7)))
+    assert (found.loadings == again.loadings).all() and (found.means == again.means).all()
+    projected = np.array([tuple(r) for r in rows.select(*found.values()).collect()])
+    assert np.allclose(projected.mean(axis=0), 0, atol=1e-9)
+    spread = np.linalg.eigvalsh(np.cov(x.T))[::-1]
+    assert np.allclose(found.variances, spread) and np.allclose(projected.var(axis=0, ddof=1), spread)
+    assert np.allclose(components.covariance(rows, FEATURES)[1], np.cov(x.T))
+    assert (found.loadings[np.abs(found.loadings).argmax(axis=0), [0, 1]] > 0).all()
     assert fit_vocabulary(data[0], "label")["label"] == CLASSES
+
+
+def test_folds_follow_the_key(spark, data):
+    rows = folds.with_fold(data[0], "id", 4)
+    found = {r["id"]: r["fold"] for r in rows.collect()}
+    assert found == {r["id"]: r["fold"] for r in folds.with_fold(data[0].repartition(5), "id", 4).collect()}
+    assert found == {i: int(hashlib.md5(str(i).encode()).hexdigest()[:8], 16) % 4 for i in found}
+
+    def predict(train, test):
+        return fit_naive_bayes(train, FEATURES, "label").predict_proba(test, "label")
+
+    for row in folds.fold_accuracy(rows, "label", 4, predict).collect():
+        own = predict(rows.where(F.col("fold") != row["fold"]), rows.where(F.col("fold") == row["fold"])).collect()
+        right = sum(r["classes"][int(np.argmax(r["p"]))] == r["label"] for r in own)
+        assert (row["n"], row["right"]) == (len(own), right) and right > 0.4 * len(own) > 0
+
+
+def test_forest_in_blocks(spark, data, fit_rows, tmp_path):
+    """Blocks are the single forests, their mean is the result, and a second run fits none of them again."""
+    settings = {"trees": 7, "depth": 3, "block": 3, "folder": str(tmp_path / "forest")}
+    forest = fit_forest_in_blocks(fit_rows, **settings)
+    assert [n for _, n in forest.blocks] == [3, 3, 1]
+    written = sorted((p, p.stat().st_mtime_ns) for p in (tmp_path / "forest").rglob("*"))
+    assert fit_forest_in_blocks(fit_rows, **settings) == forest
+    assert written == sorted((p, p.stat().st_mtime_ns) for p in (tmp_path / "forest").rglob("*"))
+    found = forest.predict_proba(data[1], FEATURES, CLASSES, "id", "label")
+    good(found)
+    total: dict = {}
+    for start, n in ((0, 3), (3, 3), (6, 1)):
+        model = classifiers.random_forest(n, 3, seed=10 + start).fit(fit_rows)
+        for row in classifiers.predict_proba(model, data[1], FEATURES, CLASSES, "id").collect():
+            total[row["id"]] = total.get(row["id"], 0) + np.array(row["p"]) * n / 7
+    for row in found.collect():
+        assert np.allclose(row["p"], total[row["id"]])
+
+
+def test_stored_rows_lie_in_the_same_tasks_on_any_layout(spark, data):
+    names = {"x": F.col("x"), matrices.KEY: F.col("id"), matrices.LABEL: F.col("label")}
+    rows = data[0].select(*(column.alias(name) for name, column in names.items()))
+    for many in (1, 9):
+        table = matrices._stored(rows.repartition(many), "layout")
+        found = [[r[matrices.KEY] for r in part] for part in table.rdd.glom().collect()]
+        assert many == 1 or found == before
+        before = found
+
+
+def test_the_established_settings_are_the_defaults():
+    assert fit_forest_in_blocks.__defaults__[:2] == (700, 13)
+    assert boosting.fit_boosted_trees.__defaults__[:3] == (600, 2, 1.5)
+    assert exact_tree.fit_exact_tree.__defaults__ == (2, 20, 100, "sqrt", 100)
