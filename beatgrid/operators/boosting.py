@@ -188,7 +188,7 @@ def _weighted(batch: pa.RecordBatch, since: Sequence[Round]) -> tuple[np.ndarray
 
 
 def _sums(
-    table: DataFrame, since: Sequence[Round], tree: Tree, level: int, features: int, width: int, classes: int
+    table: DataFrame, tasks: int, since: Sequence[Round], tree: Tree, level: int, features: int, width: int, classes: int
 ) -> np.ndarray:
     """Units of weight by (node of a level, feature, bin, class)."""
     shape = (2**level, features, width, classes)
@@ -206,7 +206,7 @@ def _sums(
             np.add.at(out, place.ravel(), np.repeat(units, features))
         return out
 
-    return summed(table, work, size, whole=True).reshape(shape)
+    return summed(table, work, size, whole=True, tasks=tasks).reshape(shape)
 
 
 def _reweighted(table: DataFrame, since: Sequence[Round]) -> DataFrame:
@@ -235,11 +235,12 @@ def fit_boosted_trees(
     with Scratch(train.sparkSession) as scratch:
         edges = fit_bins(train, bins)
         table = scratch.keep(_binned(train, edges), "boosting-rows")
+        tasks = table.rdd.getNumPartitions()
         found: list[Round] = []
         since: list[Round] = []
         for _ in range(rounds):
             shape = len(edges.thresholds), edges.width, len(classes)
-            tree, error = grow(depth, lambda t, level: _sums(table, since, t, level, *shape))
+            tree, error = grow(depth, lambda t, level: _sums(table, tasks, since, t, level, *shape))
             if error >= 1.0 - 1.0 / len(classes):
                 if not found:
                     raise ValueError("the first tree is no better than guessing")
