@@ -6,18 +6,18 @@ gets the earlier categories' probabilities as further inputs. In training these
 the row (out-of-fold), when scoring from the model fitted on all rows. The last category decides: its
 threshold is the one with the best F-score among out-of-fold predictions, precision weighing twice as much.
 
-Training takes at most ``TRAIN_ROWS`` labelled rows, those with the smallest hashes of doc_id; this is the
-documented bound of the sample. Everything else, scoring included, covers all rows and whole texts; it is one
-map over the scan with a model of at most ``VOCABULARY`` words.
-
-The tables label only ``toxic``; two finer categories are derived from it for the chain: ``insult`` (toxic, and
-at least one word of the marked vocabulary) and ``abuse`` (toxic, and at least three different ones). The chain
-itself takes any label columns in any order.
-
-Defined results: a null or empty text has no words and gets the probabilities of none; a null doc_id is scored
-but never learned from; null labels are left out; without labelled rows of both kinds every probability is 0
-and nothing is rejected; repeated rows get equal results; an empty table gives an empty table. Other columns
-pass through :func:`without_toxic` and are not read otherwise.
+Training takes at most ``TRAIN_ROWS`` labelled doc_ids, those with the smallest hashes, and one row of each, the one
+whose text has the smallest hash; this is the documented bound of the sample. The model reads every word that passes
+the test. Scoring covers all rows and whole texts; it is one map over the scan.
+
+The tables label only ``toxic``; two finer categories are derived for the chain from where marked words stand, which
+the words' presence does not tell: ``repeated`` (toxic, and one of them comes twice) and ``clustered`` (toxic, and two
+of them stand within ``CLUSTER`` words). The chain itself takes any label columns in any order.
+
+Defined results: a null or empty text has no words and gets the probabilities of none; a very long text is one set of
+words as any other; a null doc_id is scored but never learned from; null labels are left out; without labelled rows
+of both kinds every probability is 0 and nothing is rejected; repeated rows get equal results; an empty table gives an
+empty table. Other columns of any name pass through :func:`without_toxic` and are not read otherwise.
 """
 
 from __future__ import annotations
@@ -30,14 +30,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from beatgrid.session import materialize
+from beatgrid.llm.text import Callers
+from beatgrid.session import Scratch
 
 TRAIN_ROWS = 20_000
-VOCABULARY = 1_000
 LEAST_DOCUMENTS = 5
 #: Least likelihood-ratio statistic of a word's counts against the overall share of positive texts.
 LEAST_GAIN = 18.0
 MARKED_RATIO = 20.0
+CLUSTER = 5
 FOLDS = 4
 PENALTY = 0.1
 ROUNDS = 400
@@ -45,8 +46,8 @@ ROUNDS = 400
 _WORD = re.compile(r"[^\W\d_]+")
 
 
-def distinct_words(text: str | None) -> set[str]:
-    return set(_WORD.findall((text or "").lower()))
+def words_of(text: str | None) -> list[str]:
+    return _WORD.findall((text or "").lower())
 
 
 def _sample(labels: DataFrame, rows: int) -> DataFrame:
@@ -55,10 +56,10 @@ def _sample(labels: DataFrame, rows: int) -> DataFrame:
     return known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(order, "doc_id").limit(rows)
 
 
-def vocabulary(examples: DataFrame, size: int = VOCABULARY) -> list[tuple[str, float]]:
-    """(word, ratio) of the words most typical of positive examples, from (words, toxic) rows."""
+def vocabulary(examples: DataFrame) -> list[tuple[str, float]]:
+    """(word, ratio) of the words whose counts tell positive examples from others, from (words, toxic) rows."""
     counts = (
-        examples.select(F.explode("words").alias("word"), "toxic")
+        examples.select(F.explode(F.array_distinct("words")).alias("word"), "toxic")
         .groupBy("word")
         .agg(F.count_if(F.col("toxic") > 0).alias("yes"), F.count_if(F.col("toxic") <= 0).alias("no"))
         .where(F.col("yes") + F.col("no") >= LEAST_DOCUMENTS)
@@ -76,7 +77,7 @@ def vocabulary(examples: DataFrame, size: int = VOCABULARY) -> list[tuple[str, f
 
     gain = 2 * (part(F.col("yes"), together * share) + part(F.col("no"), together * (1 - share)))
     best = counts.select("word", ratio.alias("ratio"), gain.alias("gain")).where(F.col("gain") >= LEAST_GAIN)
-    return [(r["word"], r["ratio"]) for r in best.orderBy(F.desc("gain"), "word").limit(size).collect()]
+    return [(r["word"], r["ratio"]) for r in best.orderBy(F.desc("gain"), "word").collect()]
 
 
 class Rows:
@@ -150,7 +151,7 @@ class Chain:
         if not self.models:
             return np.zeros((len(texts), len(self.categories)))
         known = self.place.keys()
-        rows = Rows([sorted(self.place[w] for w in known & distinct_words(t)) for t in texts], len(known))
+        rows = Rows([sorted(self.place[w] for w in known & set(words_of(t))) for t in texts], len(known))
         earlier = np.zeros((len(texts), 0))
         out = []
         for model in self.models:
@@ -169,62 +170,76 @@ def _best_threshold(probability: np.ndarray, label: np.ndarray) -> float:
     return float((probability[order[at]] + following) / 2)
 
 
-def fit_chain(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, size: int = VOCABULARY) -> Chain:
-    """The chain insult, abuse, toxic from labels.toxic."""
-    categories = ["insult", "abuse", "toxic"]
+def _examples(documents: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
+    """One row (doc_id, toxic, words in order) of each sampled doc_id, however many rows it has."""
     sample = F.broadcast(_sample(labels, rows))  # at most ``rows`` pairs of numbers
+    chosen = documents.select("doc_id", "text").join(sample, "doc_id")
+    chosen = chosen.groupBy("doc_id").agg(
+        F.max("toxic").cast("double").alias("toxic"), F.min_by("text", F.xxhash64("text")).alias("text")
+    )
 
     def opened(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            words = [sorted(distinct_words(t)) for t in batch["text"]]
+            words = [words_of(t) for t in batch["text"]]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "toxic": batch["toxic"], "words": words})
 
-    chosen = documents.select("doc_id", "text").join(sample, "doc_id")
-    examples = materialize(
-        chosen.mapInPandas(opened, "doc_id bigint, toxic double, words array<string>"), "toxicity-examples"
-    )
-    words = vocabulary(examples, size)
-    chain = Chain([word for word, _ in words], categories)
-    place = chain.place
+    return chosen.mapInPandas(opened, "doc_id bigint, toxic double, words array<string>")
 
-    def numbered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = [[place[w] for w in row if w in place] for row in batch["words"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "toxic": batch["toxic"], "found": found})
 
-    table = examples.mapInPandas(numbered, "doc_id bigint, toxic double, found array<int>")
-    fold = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS))
-    local = table.withColumn("fold", fold).orderBy("doc_id", "found").collect()
-    toxic = np.array([r["toxic"] > 0 for r in local], dtype=bool)
+def standing(places: list[int | None], marked: set[int]) -> tuple[bool, bool]:
+    """Whether a marked word comes twice, and whether two stand within CLUSTER words."""
+    at = [i for i, place in enumerate(places) if place in marked]
+    twice = len({places[i] for i in at}) < len(at)
+    return twice, any(b - a <= CLUSTER for a, b in zip(at, at[1:]))
+
+
+def fit_chain(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Chain:
+    """The chain repeated, clustered, toxic from labels.toxic."""
+    with Scratch(documents.sparkSession) as scratch:
+        examples = scratch.keep(_examples(documents, labels, rows), "toxicity-examples")
+        words = vocabulary(examples)
+        chain = Chain([word for word, _ in words], ["repeated", "clustered", "toxic"])
+        place = chain.place
+        marked = {place[word] for word, ratio in words if ratio >= MARKED_RATIO}
+
+        def numbered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                places = [[place.get(w) for w in row] for row in batch["words"]]
+                result = pd.DataFrame([standing(row, marked) for row in places], columns=["twice", "near"], dtype=bool)
+                result["found"] = [sorted({p for p in row if p is not None}) for row in places]
+                yield result.assign(doc_id=batch["doc_id"].to_numpy(), toxic=batch["toxic"].to_numpy())
+
+        table = examples.mapInPandas(numbered, "doc_id bigint, toxic double, found array<int>, twice boolean, near boolean")
+        fold = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS))
+        local = table.withColumn("fold", fold).orderBy("doc_id").collect()
+    toxic, twice, near = (np.array([bool(r[name]) for r in local], dtype=bool) for name in ("toxic", "twice", "near"))
     if not toxic.any() or toxic.all():
         return chain
-    marked = {place[word] for word, ratio in words if ratio >= MARKED_RATIO}
-    seen = np.array([len(marked.intersection(r["found"])) for r in local])
-    derived = {"insult": toxic & (seen >= 1), "abuse": toxic & (seen >= 3), "toxic": toxic}
+    derived = {"repeated": toxic & twice, "clustered": toxic & near, "toxic": toxic}
     return chain.fit([list(r["found"]) for r in local], derived, np.array([r["fold"] for r in local]))
 
 
-def _scored(documents: DataFrame, chain: Chain) -> DataFrame:
-    """The rows with a struct of probabilities, through one vectorised function over the text."""
+def _probabilities(chain: Chain) -> F.Column:
+    """An array of probabilities, through one vectorised function over the text."""
 
     @F.pandas_udf("array<double>")
     def probabilities(texts: pd.Series) -> pd.Series:
         return pd.Series(list(np.round(chain.predict(texts.tolist()), 6)))
 
-    return documents.withColumn("_p", probabilities(F.col("text")))
+    return probabilities(F.col("text"))
 
 
 def score_toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, a probability per category, and whether the document is rejected."""
     chain = fit_chain(documents, labels)
-    scored = _scored(documents.select("doc_id", "text"), chain)
-    shares = [F.get("_p", F.lit(i)).alias(f"p_{name}") for i, name in enumerate(chain.categories)]
+    scored = documents.select("doc_id", _probabilities(chain).alias("p"))
+    shares = [F.get("p", F.lit(i)).alias(f"p_{name}") for i, name in enumerate(chain.categories)]
     return scored.select("doc_id", *shares).withColumn("rejected", F.col("p_toxic") >= chain.threshold)
 
 
 def without_toxic(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are not rejected, with their columns."""
     chain = fit_chain(documents, labels)
-    last = F.get("_p", F.lit(len(chain.categories) - 1))
-    kept = _scored(documents, chain).where(last < chain.threshold)
-    return kept.select(*(f"`{name}`" for name in documents.columns))
+    callers = Callers(documents, "text")
+    scored = callers.df.withColumn("_p", _probabilities(chain))
+    return scored.where(F.get("_p", F.lit(len(chain.categories) - 1)) < chain.threshold).select(*callers.columns())

@@ -143,6 +143,64 @@ def test_toxicity_edge_cases(spark):
     assert toxicity.score_toxicity(documents.where("false"), labels).count() == 0
 
 
+def test_one_row_of_each_sampled_id_is_learned_from(spark):
+    rows = [(1, f"some text {i % 7}") for i in range(4_000)] + [(2, "other"), (3, None), (None, "no id")]
+    documents = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    labels = spark.createDataFrame([(1, 1, 1), (2, 1, 0), (None, 1, 1)], "doc_id bigint, quality int, toxic int")
+    found = toxicity._examples(documents, labels, 20).collect()
+    assert sorted(r["doc_id"] for r in found) == [1, 2]
+    again = toxicity._examples(documents.repartition(7), labels, 20).where("doc_id = 1").first()
+    assert again["words"] == next(r["words"] for r in found if r["doc_id"] == 1)
+
+
+def test_where_marked_words_stand():
+    assert toxicity.standing([None, 1, None, 1], {1}) == (True, True)
+    assert toxicity.standing([1, *[None] * 9, 1], {1}) == (True, False)
+    assert toxicity.standing([1, 0, 2], {1, 2}) == (False, True)
+    assert toxicity.standing([1, *[0] * 5, 2], {1, 2}) == (False, False)
+    assert toxicity.standing([], {1}) == toxicity.standing([0], {1}) == (False, False)
+
+
+def test_any_column_names_pass_the_filter(spark):
+    names = ["_p", "p_toxic", "rejected", "own0", "words"]
+    documents = spark.createDataFrame([(i, f"word {i}", *names) for i in range(9)], ["doc_id", "text", *names])
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(9)], "doc_id bigint, quality int, toxic int")
+    kept = toxicity.without_toxic(documents, labels)
+    assert kept.columns == documents.columns and {tuple(r)[2:] for r in kept.collect()} <= {tuple(names)}
+
+
+def plain_logistic(x, y, penalty):
+    """Newton steps on the penalised mean loss; the intercept, last, is free."""
+    x = np.hstack((x, np.ones((len(x), 1))))
+    free = np.append(np.full(x.shape[1] - 1, penalty / len(x)), 0.0)
+    weights = np.zeros(x.shape[1])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-x @ weights))
+        slope = x.T @ (p - y) / len(x) + free * weights
+        weights -= np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x / len(x) + np.diag(free + 1e-12), slope)
+    return weights
+
+
+def test_the_chain_equals_plain_fits(monkeypatch):
+    """Each category on the words and on what models of the other folds say of the earlier ones."""
+    monkeypatch.setattr(toxicity, "ROUNDS", 20_000)
+    draw = np.random.default_rng(8)
+    rows = [[int(i) for i in np.flatnonzero(draw.random(5) < 0.4)] for _ in range(200)]
+    x = np.array([[float(i in r) for i in range(5)] for r in rows])
+    first = (x[:, 0] + draw.random(200) > 1.2).astype(bool)
+    second = (x[:, 1] + first * 0.5 + draw.random(200) > 1.3).astype(bool)
+    folds = np.arange(200) % toxicity.FOLDS
+    chain = toxicity.Chain([f"w{i}" for i in range(5)], ["a", "b"]).fit(rows, {"a": first, "b": second}, folds)
+    unseen = np.zeros(200)
+    for fold in range(toxicity.FOLDS):
+        part = plain_logistic(x[folds != fold], first[folds != fold], toxicity.PENALTY)
+        unseen[folds == fold] = (np.hstack((x, np.ones((200, 1)))) @ part)[folds == fold]
+    want = [plain_logistic(x, first, toxicity.PENALTY)]
+    want.append(plain_logistic(np.hstack((x, 1 / (1 + np.exp(-unseen[:, None])))), second, toxicity.PENALTY))
+    for found, own in zip(chain.models, want):
+        assert np.allclose(found, own, atol=0.02), (found, own)
+
+
 def test_later_categories_see_unseen_predictions():
     draw = np.random.default_rng(2)
     rows = [[int(i) for i in np.flatnonzero(draw.random(12) < 0.2)] for _ in range(300)]
