@@ -151,7 +151,42 @@ def _covariance() -> str:
     )
 
 
+_GAUSSIAN = (
+    _MATRICES
+    + f""",
+long_train AS (
+  SELECT Category_New, unnest([0, 1, 2, 3, 4, 5, 6, 7, 8, 9]) AS j, unnest({_X}) AS v FROM matrix_train),
+long_test AS (SELECT PdId, unnest([0, 1, 2, 3, 4, 5, 6, 7, 8, 9]) AS j, unnest({_X}) AS v FROM matrix_test),
+centre AS (
+  SELECT Category_New, j, CAST(sum(CAST(v AS DECIMAL(28, 10))) AS DOUBLE) / count(*) AS m, count(*) AS n
+  FROM long_train GROUP BY 1, 2),
+whole AS (SELECT j, CAST(sum(CAST(v AS DECIMAL(28, 10))) AS DOUBLE) / count(*) AS m FROM long_train GROUP BY 1),
+widest AS (
+  SELECT 1e-9 * max(s) AS raised FROM (
+    SELECT j, CAST(sum(CAST((v - m) * (v - m) AS DECIMAL(28, 10))) AS DOUBLE) / count(*) AS s
+    FROM long_train JOIN whole USING (j) GROUP BY 1)),
+normals AS (
+  SELECT Category_New, j, any_value(m) AS m, any_value(n) AS n,
+    CAST(sum(CAST((v - m) * (v - m) AS DECIMAL(28, 10))) AS DOUBLE) / count(*) + (SELECT raised FROM widest) AS s
+  FROM long_train JOIN centre USING (Category_New, j) GROUP BY 1, 2),
+scores AS (
+  SELECT PdId, Category_New, sum(-5e-1 * (ln(s * 2 * pi()) + (v - m) * (v - m) / s))
+    + ln(any_value(n) / CAST((SELECT count(*) FROM train) AS DOUBLE)) AS score
+  FROM long_test JOIN normals USING (j) GROUP BY 1, 2),
+shifted AS (SELECT PdId, Category_New, exp(score - max(score) OVER (PARTITION BY PdId)) AS e FROM scores)"""
+)
+
 MODEL_ORACLE: dict[str, str] = {
+    "gaussian_bayes": _with(
+        _GAUSSIAN,
+        "SELECT PdId, Category_New AS class, round(e / sum(e) OVER (PARTITION BY PdId), 8) AS p FROM shifted",
+    ),
+    "svd_energy": _with(
+        _MATRICES,
+        "SELECT CAST(10 AS INTEGER) AS n, round(("
+        + " + ".join(f"sum(x{j} * x{j})" for j in range(10))
+        + ") / count(*), 5) AS squares, true AS falling FROM matrix_train",
+    ),
     "dtree_proba": _tree_probabilities(2, 20, 100, 3),
     "dtree_proba_all_features": _tree_probabilities(4, 5, 2, 10),
     "feature_importance": _tree_importances(2, 20, 100, 3),

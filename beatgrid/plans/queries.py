@@ -16,13 +16,15 @@ from pyspark.sql import functions as F
 
 from beatgrid.functions import arrays, categories, dates, places
 from beatgrid.operators import boosting, classifiers, columns, counts, encode, evaluate, kernel_svm, neighbours, rows
-from beatgrid.operators.bayes import fit_naive_bayes
+from beatgrid.operators.bayes import fit_gaussian_bayes, fit_naive_bayes
 from beatgrid.operators.components import Components, covariance, fit_components
 from beatgrid.operators.density import kernel_density
 from beatgrid.operators.exact_tree import ExactTree, fit_exact_tree
 from beatgrid.operators.folds import fold_accuracy, with_fold
 from beatgrid.operators.forest import StoredForest, fit_forest_in_blocks
+from beatgrid.operators.network import fit_network
 from beatgrid.operators.profile import fit_profile
+from beatgrid.operators.singular import fit_singular
 from beatgrid.plans.features import REQUIRED, add_features, build_features, decompose_dates
 from beatgrid.plans.matrices import KEY, LABEL, Matrices, label_encoded_matrices, one_hot_matrices
 from beatgrid.schemas import FEATURES, RAW_INCIDENTS
@@ -498,6 +500,12 @@ def naive_bayes_smoothed_prior(spark: SparkSession, folder: str) -> DataFrame:
     return _long(_predicted(classifiers.naive_bayes().fit(_fit_rows(data)), data))
 
 
+@query
+def gaussian_bayes(spark: SparkSession, folder: str) -> DataFrame:
+    data = _label_encoded(spark, folder)
+    return _long(fit_gaussian_bayes(data.train, data.features, LABEL).predict_proba(data.test, KEY))
+
+
 @query
 def log_loss(spark: SparkSession, folder: str) -> DataFrame:
     data = _absolute(_label_encoded(spark, folder))
@@ -649,6 +657,24 @@ def pca_variances(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame([row], schema).withColumn("total", F.round("total", 5))
 
 
+@query
+def svd_project(spark: SparkSession, folder: str) -> DataFrame:
+    """Test rows on the first three singular vectors of the training rows, not centred."""
+    data = _label_encoded(spark, folder)
+    values = F.array(*fit_singular(data.train, data.features, 3).projections())
+    return data.test.select(KEY, F.posexplode(values).alias("pos", "p")).withColumn("p", F.round("p", 5))
+
+
+@query
+def svd_energy(spark: SparkSession, folder: str) -> DataFrame:
+    """All singular values at once: their squares add up to the squares of all elements."""
+    data = _label_encoded(spark, folder)
+    values = fit_singular(data.train, data.features, len(data.features)).values
+    row = (len(values), float((values**2).sum()), bool((np.diff(values) <= 0).all()))
+    found = spark.createDataFrame([row], "n int, squares double, falling boolean")
+    return found.withColumn("squares", F.round(F.col("squares") / F.lit(data.train.count()), 5))
+
+
 @query
 def pca_logreg(spark: SparkSession, folder: str) -> DataFrame:
     data = _on_components(_label_encoded(spark, folder), 6)
@@ -670,6 +696,14 @@ def mlp_proba(spark: SparkSession, folder: str) -> DataFrame:
     return _long(_predicted(network.fit(_fit_rows(scaled)), scaled))
 
 
+@query
+def mlp_relu_proba(spark: SparkSession, folder: str) -> DataFrame:
+    """The rectified network by Adam over 200 epochs, each a full batch."""
+    scaled = _scaled(_stored(spark, folder)).stored()
+    network = fit_network(scaled.train, scaled.features, LABEL, KEY, scaled.classes)
+    return _long(network.predict_proba(scaled.test, KEY))
+
+
 @query
 def samme_proba(spark: SparkSession, folder: str) -> DataFrame:
     data = _stored(spark, folder)

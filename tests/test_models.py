@@ -8,8 +8,8 @@ import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from beatgrid.operators import boosting, classifiers, components, exact_tree, folds, kernel_svm
-from beatgrid.operators.bayes import fit_naive_bayes
+from beatgrid.operators import boosting, classifiers, components, exact_tree, folds, kernel_svm, network, singular
+from beatgrid.operators.bayes import fit_gaussian_bayes, fit_naive_bayes
 from beatgrid.operators.encode import fit_vocabulary
 from beatgrid.operators.forest import fit_forest_in_blocks
 from beatgrid.operators.evaluate import log_loss, long_form, score, true_probability
@@ -352,3 +352,59 @@ def test_the_established_settings_are_the_defaults():
     assert fit_forest_in_blocks.__defaults__[:2] == (700, 13)
     assert boosting.fit_boosted_trees.__defaults__[:3] == (600, 2, 1.5)
     assert exact_tree.fit_exact_tree.__defaults__ == (2, 20, 100, "sqrt", 100)
+
+
+def test_gaussian_bayes_equals_densities_by_hand(spark, data):
+    found = {r["id"]: r["p"] for r in fit_gaussian_bayes(data[0], FEATURES, "label").predict_proba(data[1], "id").collect()}
+    train = [tuple(r) for r in data[0].select("label", *FEATURES).collect()]
+    x, y = np.array([r[1:] for r in train]), np.array([CLASSES.index(r[0]) for r in train])
+    raised = 1e-9 * x.var(axis=0).max()
+    for row in data[1].collect():
+        at = np.array([row["x"], row["y"]])
+        score = []
+        for k in range(3):
+            own = x[y == k]
+            m, s = own.mean(axis=0), own.var(axis=0) + raised
+            score.append(np.log((y == k).mean()) - 0.5 * (np.log(2 * np.pi * s) + (at - m) ** 2 / s).sum())
+        shares = np.exp(np.array(score) - max(score))
+        assert np.allclose(found[row["id"]], shares / shares.sum(), atol=1e-6)
+    good(fit_gaussian_bayes(data[0], FEATURES, "label").predict_proba(data[1], "id", "label"))
+
+
+def test_singular_vectors_equal_a_plain_decomposition(spark):
+    draw = np.random.default_rng(5)
+    x = draw.normal(size=(200, 3)) @ draw.normal(size=(3, 9)) * 3 + draw.normal(size=(200, 9)) * 0.1 + 2
+    names = [f"f{i}" for i in range(9)]
+    rows = spark.createDataFrame([tuple(map(float, r)) for r in x], names).repartition(4)
+    found = singular.fit_singular(rows, names, 3)
+    _, values, vectors = np.linalg.svd(x, full_matrices=False)
+    assert np.allclose(found.values, values[:3], rtol=1e-4)
+    assert np.allclose(abs((found.vectors * vectors[:3].T).sum(axis=0)), 1, atol=1e-4)
+    projected = np.array([tuple(r) for r in rows.select(*found.projections()).collect()])
+    assert np.allclose(np.sqrt((projected**2).sum(axis=0)), values[:3], rtol=1e-4)
+
+
+def test_network_equals_plain_steps(spark, data):
+    network_ = network.fit_network(data[0], FEATURES, "label", "id", CLASSES, hidden=5, epochs=30, rate=0.05)
+    rows = [tuple(r) for r in data[0].select("label", *FEATURES).collect()]
+    x, y = np.array([r[1:] for r in rows]), np.array([CLASSES.index(r[0]) for r in rows])
+    w1, b1, w2, b2 = (part.copy() for part in network.Layers.drawn(2, 5, 3, 10).parts)
+    means, squares = [[np.zeros_like(p) for p in (w1, b1, w2, b2)] for _ in range(2)]
+    for t in range(1, 31):
+        before = x @ w1 + b1
+        hidden = before * (before > 0)
+        p = np.exp(hidden @ w2 + b2)
+        p /= p.sum(axis=1, keepdims=True)
+        error = (p - np.eye(3)[y]) / len(x)
+        back = error @ w2.T * (before > 0)
+        for i, (part, slope) in enumerate(zip((w1, b1, w2, b2), (x.T @ back, back.sum(0), hidden.T @ error, error.sum(0)))):
+            means[i] = 0.9 * means[i] + 0.1 * slope
+            squares[i] = 0.999 * squares[i] + 0.001 * slope**2
+            part -= 0.05 * np.sqrt(1 - 0.999**t) / (1 - 0.9**t) * means[i] / (np.sqrt(squares[i]) + 1e-7)
+    for found, own in zip(network_.layers.parts, (w1, b1, w2, b2)):
+        assert np.allclose(found, own, atol=1e-5)
+
+
+def test_network_in_smaller_steps(data):
+    network_ = network.fit_network(data[0], FEATURES, "label", "id", CLASSES, epochs=40, steps=3, rate=0.05)
+    good(network_.predict_proba(data[1], "id", "label"))
