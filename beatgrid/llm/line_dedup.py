@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from beatgrid.llm.hashing import signed
-from beatgrid.llm.text import with_result
+from beatgrid.llm.text import Callers
 from beatgrid.session import fresh_path
 
 SPACES = b" \t\n\r\x0b\x0c"
@@ -135,22 +135,33 @@ def dropped_lines(documents: DataFrame, batches: int = BATCHES, fanout: int = FA
     return spark.read.parquet(*parts)
 
 
-def mark_lines(documents: DataFrame, batches: int = BATCHES, fanout: int = FANOUT) -> DataFrame:
-    """Adds n_lines, n_dropped and kept_text to every document."""
-    dropped = dropped_lines(documents, batches, fanout)
-    placed = documents.withColumn("_body", _body())
-    match = (placed["doc_id"] == dropped["doc_id"]) & (placed["_body"] == dropped["body"])
-    joined = placed.join(dropped.withColumnRenamed("dropped", "_dropped"), match, "left").select(
-        *(placed[f"`{name}`"] for name in documents.columns), "_dropped"
+def _marked(documents: DataFrame, batches: int, fanout: int) -> DataFrame:
+    """Adds _n_lines, _n_dropped and _kept to documents whose columns a caller cannot have named like these."""
+    dropped = dropped_lines(documents, batches, fanout).select(
+        F.col("doc_id").alias("_id"), F.col("body").alias("_of"), F.col("dropped").alias("_dropped")
     )
+    placed = documents.withColumn("_body", _body())
+    joined = placed.join(dropped, (F.col("doc_id") == F.col("_id")) & (F.col("_body") == F.col("_of")), "left")
     lines = F.split(F.coalesce(F.col("text"), F.lit("")), "\n")
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_dropped"))
     text = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
-    return with_result(
-        joined,
-        n_lines=F.size(lines).cast("bigint"),
-        n_dropped=F.coalesce(F.size("_dropped"), F.lit(0)).cast("bigint"),
-        kept_text=F.when(F.col("_dropped").isNull(), F.coalesce(F.col("text"), F.lit(""))).otherwise(text),
+    return joined.withColumns(
+        {
+            "_n_lines": F.size(lines).cast("bigint"),
+            "_n_dropped": F.coalesce(F.size("_dropped"), F.lit(0)).cast("bigint"),
+            "_kept": F.when(F.col("_dropped").isNull(), F.coalesce(F.col("text"), F.lit(""))).otherwise(text),
+        }
+    )
+
+
+def mark_lines(documents: DataFrame, batches: int = BATCHES, fanout: int = FANOUT) -> DataFrame:
+    """The caller's columns with n_lines, n_dropped and kept_text."""
+    callers = Callers(documents, "doc_id", "text")
+    return _marked(callers.df, batches, fanout).select(
+        *callers.others("n_lines", "n_dropped", "kept_text"),
+        F.col("_n_lines").alias("n_lines"),
+        F.col("_n_dropped").alias("n_dropped"),
+        F.col("_kept").alias("kept_text"),
     )
 
 
@@ -166,11 +177,11 @@ def without_repeated_lines(documents: DataFrame, batches: int = BATCHES, fanout:
 
     A document all of whose lines are dropped goes; one that was empty before stays.
     """
-    marked = mark_lines(documents, batches, fanout)
-    changed = F.col("n_dropped") > 0
-    new = {
-        "text": F.when(changed, F.col("kept_text")).otherwise(F.col("text")),
-        "n_chars": F.when(changed, F.length("kept_text").cast("bigint")).otherwise(F.col("n_chars")),
-    }
-    left = marked.where(F.col("n_dropped") < F.col("n_lines"))
-    return left.select(*(new[n].alias(n) if n in new else F.col(f"`{n}`") for n in documents.columns))
+    callers = Callers(documents, "doc_id", "text")
+    marked = _marked(callers.df, batches, fanout)
+    changed = F.col("_n_dropped") > 0
+    new = {"text": F.when(changed, F.col("_kept")).otherwise(F.col("text"))}
+    if "n_chars" in documents.columns:
+        before = F.col(callers.names["n_chars"])
+        new["n_chars"] = F.when(changed, F.length("_kept").cast(documents.schema["n_chars"].dataType)).otherwise(before)
+    return marked.where(F.col("_n_dropped") < F.col("_n_lines")).select(*callers.columns(**new))

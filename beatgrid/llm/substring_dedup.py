@@ -14,8 +14,8 @@ further, the others are stored and meet their repeated spans later.
 
 Defined results: windows are compared between doc_ids, so rows of one doc_id never remove each other's words;
 a null doc_id neither removes nor loses words; a null text has no words, and neither has an empty one; texts
-under 50 words lose nothing; an empty table gives an empty table. Other columns are not read by the digests
-and pass through :func:`without_repeats`.
+under 50 words lose nothing; a very long text is one run of words as any other; an empty table gives an empty table.
+Other columns, of any name, are not read by the digests and pass through :func:`without_repeats`.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from beatgrid.llm.hashing import joined_words, run_hashes, signed, word_hashes
-from beatgrid.llm.text import words
+from beatgrid.llm.text import Callers, words
 from beatgrid.session import fresh_path, materialize
 
 WINDOW_WORDS = 50
@@ -199,8 +199,9 @@ def repeat_digests(documents: DataFrame, window: int = WINDOW_WORDS) -> DataFram
 
 def without_repeats(documents: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
     """The documents with their columns; texts that lost words are the remaining words joined by one space."""
-    _, spans = _repeats(documents.select("doc_id", "text"), window)
-    spans = spans.withColumnRenamed("spans", "_spans")
+    callers = Callers(documents, "doc_id", "text")
+    _, spans = _repeats(callers.df.select("doc_id", "text"), window)
+    spans = spans.select(F.col("doc_id").alias("_id"), F.col("body").alias("_of"), F.col("spans").alias("_spans"))
 
     @F.pandas_udf("string")
     def remaining(texts: pd.Series, found: pd.Series) -> pd.Series:
@@ -211,9 +212,8 @@ def without_repeats(documents: DataFrame, window: int = WINDOW_WORDS) -> DataFra
             kept.append(" ".join(p for p, out in zip(parts, gone) if not out) if spans_ is not None else text)
         return pd.Series(kept)
 
-    placed = documents.withColumn("_body", _body())
-    match = (placed["doc_id"] == spans["doc_id"]) & (placed["_body"] == spans["body"])
-    joined = placed.join(spans, match, "left").select(*(placed[f"`{n}`"] for n in documents.columns), "_spans")
+    placed = callers.df.withColumn("_body", _body())
+    joined = placed.join(spans, (F.col("doc_id") == F.col("_id")) & (F.col("_body") == F.col("_of")), "left")
     normal = F.array_join(words(F.col("text")), " ")
     text = F.when(F.col("_spans").isNotNull(), remaining(normal, F.col("_spans"))).otherwise(F.col("text"))
-    return joined.withColumn("text", text).select(*(f"`{n}`" for n in documents.columns))
+    return joined.select(*callers.columns(text=text))

@@ -316,10 +316,13 @@ def plain_mix(rows, want, shard_words, block_words, seed=mixing.SEED, limit=2):
     def digest(text):
         return hashlib.md5(text.encode()).hexdigest()
 
+    def name(source):
+        return "" if source is None else f"={source}"
+
     sizes = {}
     for _, text, source in rows:
         sizes[source] = sizes.get(source, 0) + len(words(text))
-    seats = highest_quotients({f"={s}": want[s] for s in sizes}, int(sum(want.values()) + 0.5))
+    seats = highest_quotients({name(s): want[s] for s in sizes}, int(sum(want.values()) + 0.5))
     out = {}
     for source, size in sizes.items():
         shards, n = {}, max(1, -(-size // shard_words))
@@ -328,14 +331,14 @@ def plain_mix(rows, want, shard_words, block_words, seed=mixing.SEED, limit=2):
                 order = digest(f"{seed}:{doc_id}")
                 shards.setdefault(int(order[:8], 16) % n, []).append((order, doc_id, len(words(text))))
         held = {shard: sum(k for _, _, k in docs) for shard, docs in shards.items()}
-        quotas = highest_quotients(held, seats[f"={source}"]) if any(held.values()) else held
+        quotas = highest_quotients(held, seats[name(source)]) if any(held.values()) else held
         for shard, docs in shards.items():
             total, quota = held[shard], min(quotas[shard], limit * held[shard])
             full, rest = divmod(quota, max(1, total))
             block = min(block_words, max(1, rest // mixing.LEAST_BLOCKS))
             n_blocks = max(1, min(total, int(total / block + 0.5)))
             picks = int(rest * n_blocks / max(1, total) + 0.5)
-            start = int(digest(f"{seed}:={source}:{shard}")[:8], 16) % n_blocks
+            start = int(digest(f"{seed}:{name(source)}:{shard}")[:8], 16) % n_blocks
             of_word = [b for b in range(n_blocks) for _ in range(total // n_blocks + (b < total % n_blocks))]
             picked = [(b * picks + picks + start) // n_blocks > (b * picks + start) // n_blocks for b in range(n_blocks)]
             at = 0
