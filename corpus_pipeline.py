@@ -3,6 +3,12 @@
 A document that the toxicity chain rejects goes; repeated lines go, and documents that had nothing else; one
 document of each group of near duplicates stays; sources are mixed to their target weights, so a text may come
 twice or in part; what is left is encoded. SQL cannot express the first and the last stage.
+
+Defined results: a null or empty text is clean, has no lines to repeat and no near duplicate; mixing takes it as
+often as it takes its shard as a whole. A null doc_id is never learned from nor compared, and its row stays up to mixing. Rows
+of one doc_id are one document for lines and near duplicates, and documents of their own for mixing. Equal texts are
+settled by the smallest doc_id, ties in mixing by a hash of text. Very long texts go through whole. Columns beyond
+those of documents, of any name, are carried along; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -12,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from beatgrid.llm import byte_bpe, line_dedup, mixing, ngram_join, toxicity
-from beatgrid.session import materialize
+from beatgrid.session import Scratch, materialize, remove
 from beatgrid.sources.parquet import read_table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -53,8 +59,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The result of the last stage over the documents of a folder of tables."""
+    """The result of the last stage over the documents of a folder of tables; the tables in between are removed."""
     docs = read_table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+    with Scratch(spark) as scratch:
+        for name, stage in STAGES[:-1]:
+            docs = scratch.keep(stage(spark, docs, sf_dir), name)
+            for path in scratch.paths[:-1]:
+                remove(spark, path)
+            scratch.paths = scratch.paths[-1:]
+        name, stage = STAGES[-1]
+        return materialize(stage(spark, docs, sf_dir), name)
