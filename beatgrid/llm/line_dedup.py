@@ -1,12 +1,15 @@
 """Line dedup against levelled sorted runs of line hashes.
 
-Documents come in batches of ascending doc_id. A batch's line keys are reduced to the smallest doc_id holding
-each, anti-joined with the runs of all earlier batches, and what is new is added as a sorted run on level 0;
-a level that holds ``fanout`` runs is merged into one run of the next. A line is dropped if its key stands in
-an earlier run, or if a smaller doc_id of its own batch holds it.
+Documents come in batches of ascending doc_id. A batch's line keys are reduced to the smallest and the largest doc_id
+holding each, and joined with the runs of all earlier batches, which tells the keys that are known; the result is added
+as a run on level 0, and a level that holds ``fanout`` runs is merged into one run of the next. Runs are tables in
+buckets by key, sorted within, so a new batch meets them bucket by bucket: its own keys are shuffled, the runs are not.
+A line is dropped if its key stands in an earlier run, or if a smaller doc_id of its own batch holds it.
 
-Only 128-bit hashes, doc_ids and line numbers are shuffled; keys are combined before the shuffle, so a line
-that stands in every document costs one row per task. Texts are shuffled once, to meet their dropped lines.
+There are at least ``BATCHES`` batches, and so many that each has at most ``BATCH_BYTES`` of text. Only 128-bit hashes,
+doc_ids and line numbers are shuffled. Keys are combined before the shuffle, so a line that stands in every document
+costs one row per task there; its occurrences then learn what is decided spread over ``SALTS`` tasks by a hash of
+their document. Texts are shuffled once, to meet their dropped lines.
 
 Defined results: a null text counts as one empty line and stays null in :func:`without_repeated_lines`; rows of
 one doc_id are one document, so they do not repeat each other's lines; a null doc_id is no document to compare
@@ -22,50 +25,51 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from beatgrid.llm.batches import small_batches
 from beatgrid.llm.hashing import signed
 from beatgrid.llm.text import Callers
-from beatgrid.session import fresh_path
+from beatgrid.session import Scratch, fresh_path, materialize, remove
 
 SPACES = b" \t\n\r\x0b\x0c"
 LEAST_LENGTH = 10
 BATCHES = 4
+BATCH_BYTES = 256 << 30
+SALTS = 8
 FANOUT = 2
 KEYS = ["h1", "h2"]
 OCCURRENCE = "doc_id bigint, body bigint, line int, h1 bigint, h2 bigint"
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-
-
 class LineRuns:
-    """Runs of line keys in the shared folder, level by level."""
+    """Runs of line keys, level by level: tables of the shared folder in buckets by key."""
 
     def __init__(self, spark: SparkSession, fanout: int = FANOUT) -> None:
         self.spark, self.fanout = spark, fanout
+        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[str]] = []
+        self.paths: dict[str, str] = {}
 
-    def _write(self, keys: DataFrame) -> str:
+    def write(self, keys: DataFrame) -> str:
+        """A table of rows dealt into buckets and sorted by key."""
         path = fresh_path(self.spark, "line-run")
-        keys.sortWithinPartitions(*KEYS).write.parquet(path)
-        return path
-
-    def keys(self) -> DataFrame | None:
-        """All keys of all runs; None before the first run."""
-        paths = [path for level in self.levels for path in level]
-        return self.spark.read.parquet(*paths).select(*KEYS) if paths else None
-
-    def add(self, keys: DataFrame) -> DataFrame:
-        """Write new keys as a run, compact full levels, and return the run's rows."""
-        path = self._write(keys)
-        written = self.spark.read.parquet(path)
-        self.fresh = path
-        return written
-
-    def settle(self) -> None:
-        """Put the last run on level 0 and merge levels that are full."""
-        run, level = self.fresh, 0
+        name = path.rsplit("/", 1)[1].replace("-", "_")
+        dealt = keys.repartition(self.buckets, *KEYS)
+        dealt.write.bucketBy(self.buckets, *KEYS).sortBy(*KEYS).option("path", path).saveAsTable(name)
+        self.paths[name] = path
+        return name
+
+    def known(self, keys: DataFrame) -> DataFrame:
+        """Adds ``known``: whether a run has the key."""
+        found = F.lit(False)
+        for i, name in enumerate(name for level in self.levels for name in level):
+            run = self.spark.table(name).select(*KEYS, F.lit(True).alias(f"in{i}"))
+            keys = keys.join(run, KEYS, "left")
+            found = found | F.coalesce(f"in{i}", F.lit(False))
+        return keys.select(*KEYS, "first", "last", found.alias("known"))
+
+    def settle(self, run: str) -> None:
+        """Put a run on level 0 and merge levels that are full."""
+        level = 0
         while True:
             if len(self.levels) == level:
                 self.levels.append([])
@@ -73,15 +77,20 @@ class LineRuns:
             if len(self.levels[level]) < self.fanout:
                 return
             full, self.levels[level] = self.levels[level], []
-            merged = self.spark.read.parquet(*full).repartition(*KEYS)
-            run, level = self._write(merged), level + 1
-            for path in full:
-                _remove(self.spark, path)
+            merged = self.spark.table(full[0]).select(*KEYS)
+            for name in full[1:]:
+                merged = merged.unionByName(self.spark.table(name).select(*KEYS))
+            run, level = self.write(merged.distinct()), level + 1
+            for name in full:
+                self._drop(name)
+
+    def _drop(self, name: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        remove(self.spark, self.paths.pop(name))
 
     def clear(self) -> None:
-        for level in self.levels:
-            for path in level:
-                _remove(self.spark, path)
+        for name in list(self.paths):
+            self._drop(name)
         self.levels = []
 
 
@@ -110,29 +119,53 @@ def occurrences(documents: DataFrame) -> DataFrame:
     return named.select("doc_id", _body().alias("body"), "text").mapInPandas(lines, OCCURRENCE)
 
 
-def dropped_lines(documents: DataFrame, batches: int = BATCHES, fanout: int = FANOUT) -> DataFrame:
+def batch_state(own: DataFrame, runs: LineRuns) -> DataFrame:
+    """(key, first, last, known) of a batch: the documents that hold a key, and whether an earlier batch has it."""
+    first = own.groupBy(*KEYS).agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    return runs.known(first.repartition(runs.buckets, *KEYS))
+
+
+def _bounds(documents: DataFrame, batches: int, batch_bytes: int) -> list:
+    """doc_ids after which the next batch begins."""
+    size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    batches = max(batches, -(-size // batch_bytes))
+    steps = [k / batches for k in range(1, batches)]
+    found = documents.agg(F.percentile_approx("doc_id", steps, 10_000)).first()[0] if steps else None
+    return sorted(set(found or []))
+
+
+def dropped_lines(
+    documents: DataFrame, batches: int = BATCHES, fanout: int = FANOUT, batch_bytes: int = BATCH_BYTES
+) -> DataFrame:
     """(doc_id, body, dropped): the numbers of the lines to drop, for documents that lose any."""
     spark = documents.sparkSession
-    path = fresh_path(spark, "lines")
-    steps = [k / batches for k in range(1, batches)]
-    bounds = documents.agg(F.percentile_approx("doc_id", steps, 10_000)).first()[0] if steps else None
-    batch = F.lit(0)
-    for bound in sorted(set(bounds or [])):
-        batch = batch + F.when(F.col("doc_id") > bound, 1).otherwise(0)
-    occurrences(documents).withColumn("batch", batch).write.partitionBy("batch").parquet(f"{path}/all")
-    everything = spark.read.schema(f"{OCCURRENCE}, batch int").parquet(f"{path}/all")
-    runs, parts = LineRuns(spark, fanout), []
-    for number in range(len(set(bounds or [])) + 1):
-        own = everything.where(F.col("batch") == number).drop("batch")
-        first = own.groupBy(*KEYS).agg(F.min("doc_id").alias("first"))
-        known = runs.keys()
-        new = runs.add(first if known is None else first.join(known, KEYS, "left_anti"))
-        repeated = own.join(new, KEYS, "left").where(F.col("first").isNull() | (F.col("first") < F.col("doc_id")))
-        parts.append(f"{path}/dropped-{number}")
-        repeated.groupBy("doc_id", "body").agg(F.collect_set("line").alias("dropped")).write.parquet(parts[-1])
-        runs.settle()
-    runs.clear()
-    return spark.read.parquet(*parts)
+    bounds = _bounds(documents, batches, batch_bytes)
+    batch = F.size(F.filter(F.array(*(F.lit(b) for b in bounds)), lambda b: b < F.col("doc_id"))) if bounds else F.lit(0)
+    salt = F.pmod(F.xxhash64("doc_id", "line"), F.lit(SALTS))
+    every_salt = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))).alias("salt")
+    with Scratch(spark) as scratch, small_batches(spark):
+        path = fresh_path(spark, "lines")
+        scratch.paths.append(path)
+        occurrences(documents).withColumn("batch", batch).write.partitionBy("batch").parquet(path)
+        everything = spark.read.schema(f"{OCCURRENCE}, batch int").parquet(path)
+        runs, parts = LineRuns(spark, fanout), []
+        try:
+            for number in range(len(bounds) + 1):
+                own = everything.where(F.col("batch") == number).drop("batch")
+                run = runs.write(batch_state(own, runs))
+                repeated = spark.table(run).where(F.col("known") | (F.col("first") < F.col("last")))
+                decided = repeated.select(*KEYS, "known", "first", every_salt)
+                lost = own.withColumn("salt", salt).join(decided, [*KEYS, "salt"])
+                lost = lost.where(F.col("known") | (F.col("first") < F.col("doc_id")))
+                part = lost.groupBy("doc_id", "body").agg(F.collect_set("line").alias("dropped"))
+                parts.append(scratch.keep(part, "dropped-lines"))
+                runs.settle(run)
+        finally:
+            runs.clear()
+        dropped = parts[0]
+        for part in parts[1:]:
+            dropped = dropped.unionByName(part)
+        return materialize(dropped, "dropped-lines")
 
 
 def _marked(documents: DataFrame, batches: int, fanout: int) -> DataFrame:

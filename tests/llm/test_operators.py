@@ -373,6 +373,39 @@ def test_mixing_takes_any_column_names(spark):
 # Lines
 
 
+def test_runs_are_not_shuffled(spark):
+    """A batch meets the runs bucket by bucket: only its own keys move."""
+    rows = spark.range(500).select(
+        F.col("id").alias("doc_id"), F.lit(0).alias("line"), F.xxhash64("id").alias("h1"), F.hash("id").cast("bigint").alias("h2")
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    runs = lines.LineRuns(spark, 3)
+    try:
+        for start in (0, 100, 200, 300):
+            run = runs.write(lines.batch_state(rows.where(F.col("doc_id").between(start, start + 120)), runs))
+            runs.settle(run)
+        assert [len(level) for level in runs.levels] == [1, 1]
+        state = lines.batch_state(rows.where("doc_id >= 350"), runs)
+        plan = state._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Bucketed: true") == 2 and plan.count("SortMergeJoin") == 2
+        assert plan.count("Exchange hashpartitioning(h1") == 1
+        known = {r["first"]: r["known"] for r in state.collect()}
+        assert known == {i: i <= 420 for i in range(350, 500)}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        runs.clear()
+
+
+def test_batches_follow_the_bytes(documents):
+    assert len(lines._bounds(documents, 4, 1 << 40)) == 3
+    assert len(lines._bounds(documents, 4, 20_000)) > 3
+    few, many = (
+        sorted(tuple(r) for r in lines.dropped_lines(documents, batch_bytes=n).select("doc_id", F.array_sort("dropped")).collect())
+        for n in (1 << 40, 20_000)
+    )
+    assert few == many and few
+
+
 def test_line_dedup(documents, rows, table):
     for df, own in ((documents, pairs(rows)), table):
         for batches in (1, 4, 7):
