@@ -10,7 +10,8 @@ that can still reach the similarity are multiplied in full.
 A shingle's holders are a block. First the document in which it comes earliest, that with the fewest shingles of
 its own, is multiplied with all others; links found give components. Only in blocks whose holders are not all in one component by then, the holders outside the
 largest one are multiplied with the holders they are not yet joined to. So a group of many near copies costs
-products in proportion to its size, and no link between different components is lost.
+products in proportion to its size, and no link between different components is lost. A document that meets many
+others is copied to several parts, so its pairs lie in no single task.
 
 The list of frequent shingles only changes the order; it is cut at ``COMMON_SHINGLES`` entries by raising the
 count it starts from, and that is the bound of what is broadcast. Any list gives the same result.
@@ -30,6 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from beatgrid.llm.batches import small_batches
 from beatgrid.llm.hashing import joined_words, run_hashes, signed, word_hashes
 from beatgrid.session import Scratch, materialize
 
@@ -37,6 +39,7 @@ SHINGLE_WORDS = 4
 PERCENT = 85
 COMMON_SHINGLES = 1_000_000
 COMMON_COUNT = 16
+SALTS = 32
 #: Documents per part in which shingles are counted.
 PART_DOCUMENTS = 2_000
 
@@ -160,12 +163,20 @@ def _rest_fits(a: Column, at_a: Column, b: Column, at_b: Column, percent: int) -
     return F.least(a - at_a, b - at_b) * (100 + percent) >= (a + b) * percent
 
 
+def _met(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
+    """Pairs (a, b) with the columns of both. A document with many partners is copied to those of ``SALTS`` parts
+    that hold a partner, so no task gets all its pairs, and one with few is copied to few."""
+    salted = pairs.select("a", "b", F.pmod(F.xxhash64("b"), F.lit(SALTS)).alias("_salt"))
+    copies = salted.select("a", "_salt").distinct().join(left, "a")
+    return salted.join(right, "b").join(copies, ["a", "_salt"]).drop("_salt")
+
+
 def _promising(pairs: DataFrame, ones: DataFrame, percent: int) -> DataFrame:
     """Pairs whose overlap within the prefixes leaves them a chance.
 
     What two sets share beyond it lies behind the prefix that ends first, so it is at most the rest of one set."""
     left, right = (ones.select(F.col("doc_id").alias(k), F.struct("n", "prefix").alias(f"_{k}")) for k in ("a", "b"))
-    both = pairs.join(right, "b").join(left, "a")
+    both = _met(pairs, left, right)
     a, b = F.col("_a"), F.col("_b")
     overlap = F.size(F.array_intersect(a["prefix"], b["prefix"]))
     rest = F.greatest(a["n"] - F.size(a["prefix"]), b["n"] - F.size(b["prefix"]))
@@ -207,7 +218,7 @@ def _products(pairs: DataFrame, documents: DataFrame, length: int, percent: int)
 
     left = sets.select(F.col("doc_id").alias("a"), F.col("s1").alias("key_a"), F.col("shingles").alias("set_a"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b"))
-    joined = pairs.select("a", "b").join(right, "b").join(left, "a")
+    joined = _met(pairs, left, right)
     return joined.select("a", "b", "key_a", "set_a", "set_b").mapInPandas(multiplied, "a bigint, b bigint").distinct()
 
 
@@ -241,7 +252,7 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
 def linked(documents: DataFrame, percent: int = PERCENT, length: int = SHINGLE_WORDS) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
     documents = documents.select("doc_id", "text")
-    with Scratch(documents.sparkSession) as scratch:
+    with Scratch(documents.sparkSession) as scratch, small_batches(documents.sparkSession):
         return materialize(_linked(documents, percent, length, scratch), "components")
 
 
