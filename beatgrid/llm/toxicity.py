@@ -23,6 +23,7 @@ empty table. Other columns of any name pass through :func:`without_toxic` and ar
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -58,13 +59,24 @@ def _sample(labels: DataFrame, rows: int) -> DataFrame:
 
 
 def vocabulary(examples: DataFrame) -> list[tuple[str, float]]:
-    """(word, ratio) of the words whose counts tell positive examples from others, from (words, toxic) rows."""
-    counts = (
-        examples.select(F.explode(F.array_distinct("words")).alias("word"), "toxic")
-        .groupBy("word")
-        .agg(F.count_if(F.col("toxic") > 0).alias("yes"), F.count_if(F.col("toxic") <= 0).alias("no"))
-        .where(F.col("yes") + F.col("no") >= LEAST_DOCUMENTS)
-    )
+    """(word, ratio) of the words whose counts tell positive examples from others, from (text, toxic) rows."""
+
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yes, every = Counter(), Counter()
+        for batch in batches:
+            for text, toxic in zip(batch["text"], batch["toxic"]):
+                own = set(words_of(text))
+                every.update(own)
+                if toxic > 0:
+                    yes.update(own)
+        words = list(every)
+        yield pd.DataFrame(
+            {"word": words, "yes": [yes[w] for w in words], "no": [every[w] - yes[w] for w in words]}
+        ).astype({"word": str, "yes": "int64", "no": "int64"})
+
+    found = examples.select("text", "toxic").mapInPandas(counted, "word string, yes bigint, no bigint")
+    counts = found.groupBy("word").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
+    counts = counts.where(F.col("yes") + F.col("no") >= LEAST_DOCUMENTS)
     totals = examples.agg(
         F.greatest(F.count_if(F.col("toxic") > 0), F.lit(1)).alias("yes"),
         F.greatest(F.count_if(F.col("toxic") <= 0), F.lit(1)).alias("no"),
@@ -172,20 +184,13 @@ def _best_threshold(probability: np.ndarray, label: np.ndarray) -> float:
 
 
 def _examples(documents: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
-    """One row (doc_id, toxic, words in order) of each sampled doc_id, however many rows it has."""
+    """One row (doc_id, toxic, text) of each sampled doc_id, however many rows it has."""
     sample = F.broadcast(_sample(labels, rows))  # at most ``rows`` pairs of numbers
     chosen = documents.select("doc_id", "text").join(sample, "doc_id")
-    chosen = chosen.groupBy("doc_id").agg(
+    return chosen.groupBy("doc_id").agg(
         F.max("toxic").cast("double").alias("toxic"), F.min_by("text", F.xxhash64("text")).alias("text")
     )
 
-    def opened(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            words = [words_of(t) for t in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "toxic": batch["toxic"], "words": words})
-
-    return chosen.mapInPandas(opened, "doc_id bigint, toxic double, words array<string>")
-
 
 def standing(places: list[int | None], marked: set[int]) -> tuple[bool, bool]:
     """Whether a marked word comes twice, and whether two stand within CLUSTER words."""
@@ -205,7 +210,7 @@ def fit_chain(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -
 
         def numbered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
-                places = [[place.get(w) for w in row] for row in batch["words"]]
+                places = [[place.get(w) for w in words_of(text)] for text in batch["text"]]
                 result = pd.DataFrame([standing(row, marked) for row in places], columns=["twice", "near"], dtype=bool)
                 result["found"] = [sorted({p for p in row if p is not None}) for row in places]
                 yield result.assign(doc_id=batch["doc_id"].to_numpy(), toxic=batch["toxic"].to_numpy())
