@@ -12,13 +12,13 @@ shuffled and joined by the context and character. Each length is joined with the
 has at most as many rows as there are characters. Counts are combined before the shuffle, over all URLs, and each
 distinct URL is taken apart and scored once.
 
-``filter_urls`` reads characters as they are, and contexts of up to ``LONGEST``, with ``folded=False`` and
-``order=LONGEST``, as the query does. Its defaults are the small form: characters folded to 32 symbols, and
-``ORDER`` before each.
+Characters are read as they are. A start of URLs that many hosts share is one key of the join with the model, whose
+rows adaptive execution splits; the model's side has one row for it.
 
 Defined results: a URL that is null or has no ``://`` has an empty host and path, no rule, and is allowed if
 the score of no characters, 0, is; without training URLs of both kinds every undecided URL is allowed;
-repeated rows get equal results; an empty table gives an empty table; other columns are not read.
+repeated rows get equal results; a very long URL has as many contexts as characters; an empty table gives an empty
+table; other columns, of any name, are not read.
 """
 
 from __future__ import annotations
@@ -36,14 +36,9 @@ RULES = (
     ("block", "example.com", "/de/"),
     ("allow", "org", "/fr/"),
 )
-#: Characters that folding keeps; all others become OTHER.
-ALPHABET = "abcdefghijklmnopqrstuvwxyz0/.-"
-OTHER = "?"
-SYMBOLS = 32
 #: Stands before the first character.
 START = "\x00"
-#: Characters before each one: in the small form, and in the query.
-ORDER = 2
+#: Characters before each one.
 LONGEST = 5
 STRENGTH = 4.0
 #: Log ratios are kept as whole numbers of this fraction.
@@ -69,13 +64,10 @@ def longest_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Colum
     return rule, verdict
 
 
-def characters(url: Column, folded: bool = True) -> Column:
-    """The characters after ``://``, folded or as they are."""
+def characters(url: Column) -> Column:
+    """The characters after ``://``."""
     at = F.coalesce(F.instr(url, F.lit("://")), F.lit(0))
-    rest = F.when(at > 0, F.substring(url, at + 3, F.length(url))).otherwise("")
-    if not folded:
-        return rest
-    return F.regexp_replace(F.translate(ascii_lower(rest), "123456789_", "000000000-"), r"[^a-z0/.\-]", OTHER)
+    return F.when(at > 0, F.substring(url, at + 3, F.length(url))).otherwise("")
 
 
 def with_grams(urls: DataFrame, order: int) -> DataFrame:
@@ -145,7 +137,7 @@ def threshold(scored: DataFrame) -> DataFrame:
     return best.select((F.coalesce("s", F.lit(0)) * STEP).alias("threshold"))
 
 
-def filter_urls(pages: DataFrame, rules=RULES, order: int = ORDER, folded: bool = True) -> DataFrame:
+def filter_urls(pages: DataFrame, rules=RULES, order: int = LONGEST) -> DataFrame:
     """page_id, host, path, rule, verdict and score of every page."""
     host, path = host_and_path(F.col("url"))
     rule, decided = longest_rule(F.col("host"), F.col("path"), rules)
@@ -160,7 +152,7 @@ def filter_urls(pages: DataFrame, rules=RULES, order: int = ORDER, folded: bool
         urls = urls.select(
             F.monotonically_increasing_id().alias("id"),
             "url",
-            characters(F.col("url"), folded).alias("own"),
+            characters(F.col("url")).alias("own"),
             *(F.when((F.col("label") == k) & ~held_out, F.col("n")).otherwise(0).alias(k) for k in ("allow", "block")),
         )
         urls = scratch.keep(urls, "url-list")  # ids are kept with it
@@ -169,8 +161,7 @@ def filter_urls(pages: DataFrame, rules=RULES, order: int = ORDER, folded: bool
         grams = scratch.keep(grams, "url-grams")
         own = F.substring(F.col("gram"), order + 1, 1)
         taught = grams.where("allow + block > 0").select(own.alias("own"))
-        symbols = SYMBOLS if folded else taught.distinct().count() + 1
-        model = scratch.keep(log_ratios(grams, order, symbols), "url-model")
+        model = scratch.keep(log_ratios(grams, order, taught.distinct().count() + 1), "url-model")
         scored = materialize(scores(urls, model, order), "url-scores")
     limit = materialize(threshold(labelled.where(held_out).join(scored, "url")), "url-threshold")
     score = F.coalesce("score", F.lit(0.0))

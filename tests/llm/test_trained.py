@@ -100,6 +100,26 @@ def test_quality_edge_cases(spark):
     assert quality_classifier.score_quality(documents.where("false"), labels).count() == 0
 
 
+def test_ridge_weights_equal_plain_normal_equations(spark):
+    q = quality_classifier
+    draw = np.random.default_rng(3)
+    x = draw.normal(size=(400, q.STATISTICS))
+    y = (x[:, 0] + 0.5 * x[:, 1] ** 2 > 0.3).astype(float)
+    folds = np.arange(400) % q.FOLDS
+    rows = [([float(v) for v in a], float(b), int(c)) for a, b, c in zip(x, y, folds)]
+    model = q.fit(spark.createDataFrame(rows, "x array<double>, label double, fold int").repartition(5))
+    taught = (folds != q.CALIBRATION) & (folds != q.HELD_OUT)
+    scaled = np.clip((x[taught] - x[taught].mean(axis=0)) / x[taught].std(axis=0), -8, 8)
+    waves = np.sqrt(2 / q.FEATURES) * np.cos(scaled @ model.directions + model.phases)
+    z = np.hstack((waves, np.ones((taught.sum(), 1))))
+    penalty = np.diag([q.RIDGE * taught.sum()] * q.FEATURES + [1e-9 * taught.sum()])
+    want = np.linalg.solve(z.T @ z + penalty, z.T @ y[taught])
+    assert np.allclose(z @ model.weights[: len(want)], z @ want, atol=1e-5)
+    place, mean = model.steps
+    left = folds == q.CALIBRATION
+    assert (np.diff(mean) >= 0).all() and abs(model.score(x[left]).mean() - y[left].mean()) < 0.1
+
+
 def test_isotonic():
     draw = np.random.default_rng(0)
     x, n = np.arange(60.0), draw.integers(1, 9, 60).astype(float)
@@ -150,7 +170,7 @@ def test_one_row_of_each_sampled_id_is_learned_from(spark):
     found = toxicity._examples(documents, labels, 20).collect()
     assert sorted(r["doc_id"] for r in found) == [1, 2]
     again = toxicity._examples(documents.repartition(7), labels, 20).where("doc_id = 1").first()
-    assert again["words"] == next(r["words"] for r in found if r["doc_id"] == 1)
+    assert again["text"] == next(r["text"] for r in found if r["doc_id"] == 1)
 
 
 def test_where_marked_words_stand():
@@ -235,26 +255,39 @@ def _rule(host, path):
 
 
 def _symbols(url):
-    if url is None or "://" not in url:
-        return []
-    rest = url.split("://", 1)[1].translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
-    rest = rest.translate(str.maketrans("123456789_", "000000000-"))
-    return [url_filter.ALPHABET.find(c) + 1 or 31 for c in rest]
-
-
-def _score(symbols, counts, total):
-    padded = [0] * url_filter.ORDER + symbols
-    score = 0.0
-    for i in range(url_filter.ORDER, len(padded)):
-        p = {}
-        for label in ("allow", "block"):
-            p[label] = 1 / 32
-            for order in range(url_filter.ORDER + 1):
-                gram = tuple(padded[i - order : i + 1])
-                seen, out_of = counts[label, gram], total[label, gram[:-1]]
-                p[label] = (seen + url_filter.STRENGTH * p[label]) / (out_of + url_filter.STRENGTH)
-        score += math.log(p["allow"] / p["block"])
-    return score / len(symbols) if symbols else 0.0
+    return list(url.split("://", 1)[1]) if url and "://" in url else []
+
+
+class PlainUrlModel:
+    """Counts of both classes by context and character, blended from the empty context on."""
+
+    def __init__(self, urls):
+        self.counts, self.total, self.met = Counter(), Counter(), set()
+        for url in urls:
+            label = _rule(*_split(url))[1]
+            if label is None or sha_first(url) in "012":
+                continue
+            padded = ["\0"] * url_filter.LONGEST + _symbols(url)
+            self.met.update(_symbols(url))
+            for i in range(url_filter.LONGEST, len(padded)):
+                for order in range(url_filter.LONGEST + 1):
+                    gram = tuple(padded[i - order : i + 1])
+                    self.counts[label, gram] += 1
+                    self.total[label, gram[:-1]] += 1
+
+    def score(self, url):
+        symbols, score = _symbols(url), 0.0
+        padded = ["\0"] * url_filter.LONGEST + symbols
+        for i in range(url_filter.LONGEST, len(padded)):
+            p = {}
+            for label in ("allow", "block"):
+                p[label] = 1 / (len(self.met) + 1)
+                for order in range(url_filter.LONGEST + 1):
+                    gram = tuple(padded[i - order : i + 1])
+                    seen, out_of = self.counts[label, gram], self.total[label, gram[:-1]]
+                    p[label] = (seen + url_filter.STRENGTH * p[label]) / (out_of + url_filter.STRENGTH)
+            score += math.log(p["allow"] / p["block"])
+        return score / len(symbols) if symbols else 0.0
 
 
 def test_urls(spark, folder):
@@ -263,31 +296,18 @@ def test_urls(spark, folder):
         (None, None), (-1, ""), (-2, "no scheme"), (-3, "http://"), (-4, "HTTP://WWW.Example.NET/en/x?y#z"),
         (-5, "http://net"), (-6, "http://net/"), (-7, "http://x.net?q=/en/"), (-8, "a://b://c/d"), (-9, "http://notnet/x"),
         (-10, "http://\u00c9.org/fr/\n?x"), (-10, "http://\u00c9.org/fr/\n?x"), (-11, "http://example.com/de"), (-12, "http://x.org#/fr/"),
+        (-13, "http://long.info/" + "segment/" * 2_000),
     ]
     pages = spark.createDataFrame([(*r, "mine", "mine") for r in own], "page_id bigint, url string, host string, codes string")
     result = url_filter.filter_urls(pages.repartition(4)).collect()
     assert len(result) == len(own)
-    counts, total = Counter(), Counter()
-    for _, url in own:
-        label = _rule(*_split(url))[1]
-        if label is None or sha_first(url) in "012":
-            continue
-        padded = [0] * url_filter.ORDER + _symbols(url)
-        for i in range(url_filter.ORDER, len(padded)):
-            for order in range(url_filter.ORDER + 1):
-                gram = tuple(padded[i - order : i + 1])
-                counts[label, gram] += 1
-                total[label, gram[:-1]] += 1
-    url_of = {}
-    for page, url in own:
-        url_of[page] = url
-    limits = []
+    model, url_of, limits = PlainUrlModel([url for _, url in own]), dict(own), []
     for r in result:
         url = url_of[r["page_id"]]
         assert (r["host"], r["path"]) == _split(url)
         rule, verdict = _rule(r["host"], r["path"])
         assert r["rule"] == rule
-        assert r["score"] == pytest.approx(_score(_symbols(url), counts, total), abs=1e-6)
+        assert r["score"] == pytest.approx(model.score(url), abs=1e-6)
         if rule is not None:
             assert r["verdict"] == verdict
         else:
@@ -327,31 +347,9 @@ def test_urls_by_long_contexts_of_unfolded_characters(spark, tmp_path):
     spark.createDataFrame(rows, "page_id bigint, url string").write.parquet(f"{tmp_path}/pages.parquet")
     result = {r["page_id"]: r["score"] for r in QUERIES["op2_url_filter"](spark, str(tmp_path)).collect()}
 
-    order = url_filter.LONGEST
-    counts, total, met = Counter(), Counter(), set()
-    for url in own:
-        label = _rule(*_split(url))[1]
-        if sha_first(url) in "012":
-            continue
-        padded = ["\0"] * order + list(url.split("://", 1)[1])
-        met.update(padded[order:])
-        for i in range(order, len(padded)):
-            for k in range(order + 1):
-                gram = tuple(padded[i - k : i + 1])
-                counts[label, gram] += 1
-                total[label, gram[:-1]] += 1
+    model = PlainUrlModel(own)
     for page, url in rows:
-        padded = ["\0"] * order + list(url.split("://", 1)[1])
-        score = 0.0
-        for i in range(order, len(padded)):
-            p = {}
-            for label in ("allow", "block"):
-                p[label] = 1 / (len(met) + 1)
-                for k in range(order + 1):
-                    gram = tuple(padded[i - k : i + 1])
-                    p[label] = (counts[label, gram] + 4.0 * p[label]) / (total[label, gram[:-1]] + 4.0)
-            score += math.log(p["allow"] / p["block"])
-        assert result[page] == pytest.approx(score / (len(padded) - order), abs=1e-6)
+        assert result[page] == pytest.approx(model.score(url), abs=1e-6)
     first = len(own)
     for k in (0, 2, 4):
         assert result[first + k] > result[first + k + 1] + 0.05
