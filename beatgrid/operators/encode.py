@@ -19,13 +19,16 @@ Vocabulary = Mapping[str, Sequence[str]]
 _POSITION_BITS = 33
 
 
-def fit_vocabulary(df: DataFrame, *columns: str) -> dict[str, list[str]]:
+def fit_vocabulary(df: DataFrame, *columns: str, most: int = 10_000) -> dict[str, list[str]]:
     """Ascending distinct values of each text column, from one pass over ``df``.
 
-    For values that become names of columns or classes, which is what bounds their number; they reach the
-    driver. :func:`label_codes` and :func:`one_hot_vectors` handle columns of any cardinality without that.
+    For values that become names of columns or classes; they reach the driver, and more than ``most`` are refused
+    with a ValueError. :func:`label_codes` and :func:`one_hot_vectors` handle columns of any cardinality.
     """
-    values = column_values(df, *columns).where(F.col("value").isNotNull()).distinct().collect()
+    distinct = column_values(df, *columns).where(F.col("value").isNotNull()).distinct()
+    values = distinct.limit(most + 1).collect()
+    if len(values) > most:
+        raise ValueError(f"{', '.join(columns)}: over {most} values; use label_codes or one_hot_vectors")
     vocabulary: dict[str, list[str]] = {name: [] for name in columns}
     for name, value in values:
         vocabulary[name].append(value)

@@ -100,3 +100,10 @@ def test_density_matches_the_formula(spark):
 def test_density_of_a_constant_is_null(spark):
     df = spark.range(5).select(F.lit(2.0).alias("x"))
     assert {r["density"] for r in kernel_density(df, "x", points=3).collect()} == {None}
+
+
+def test_too_many_values_for_columns_are_refused(spark):
+    df = spark.range(30).select(F.col("id").cast("string").alias("s"))
+    assert len(encode.fit_vocabulary(df, "s", most=30)["s"]) == 30
+    with pytest.raises(ValueError, match="label_codes"):
+        encode.fit_vocabulary(df, "s", most=29)
