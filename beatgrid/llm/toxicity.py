@@ -40,6 +40,8 @@ LEAST_DOCUMENTS = 5
 #: Least likelihood-ratio statistic of a word's counts against the overall share of positive texts.
 LEAST_GAIN = 18.0
 MARKED_RATIO = 20.0
+#: Words that a task counts before it hands them on.
+WORDS_HELD = 30_000
 CLUSTER = 5
 FOLDS = 4
 PENALTY = 0.1
@@ -61,6 +63,11 @@ def _sample(labels: DataFrame, rows: int) -> DataFrame:
 def vocabulary(examples: DataFrame) -> list[tuple[str, float]]:
     """(word, ratio) of the words whose counts tell positive examples from others, from (text, toxic) rows."""
 
+    def rows(yes: Counter, every: Counter) -> pd.DataFrame:
+        words = list(every)
+        found = {"word": words, "yes": [yes[w] for w in words], "no": [every[w] - yes[w] for w in words]}
+        return pd.DataFrame(found).astype({"word": str, "yes": "int64", "no": "int64"})
+
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yes, every = Counter(), Counter()
         for batch in batches:
@@ -69,10 +76,10 @@ def vocabulary(examples: DataFrame) -> list[tuple[str, float]]:
                 every.update(own)
                 if toxic > 0:
                     yes.update(own)
-        words = list(every)
-        yield pd.DataFrame(
-            {"word": words, "yes": [yes[w] for w in words], "no": [every[w] - yes[w] for w in words]}
-        ).astype({"word": str, "yes": "int64", "no": "int64"})
+                if len(every) > WORDS_HELD:
+                    yield rows(yes, every)
+                    yes, every = Counter(), Counter()
+        yield rows(yes, every)
 
     found = examples.select("text", "toxic").mapInPandas(counted, "word string, yes bigint, no bigint")
     counts = found.groupBy("word").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
