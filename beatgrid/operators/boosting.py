@@ -1,7 +1,7 @@
 """Multi-class boosting of small trees (Zhu, Zou, Rosset, Hastie, "Multi-class AdaBoost", 2009).
 
 Features are binned once. Rows with equal bins and label share one weight for ever, so they become one row with a
-count. A round costs one pass per level of its tree: the pass sums weights by (node, feature, bin, class), and the
+count; these are stored in blocks, feature by feature. A round costs one pass per level of its tree: the pass sums weights by (node, feature, bin, class), and the
 driver picks the splits from those sums. The error of the tree follows from the sums of its last level. Weights are
 written back every ``ROUNDS_PER_TABLE`` rounds; in between a pass applies the trees since then.
 """
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from beatgrid.operators.encode import assemble
-from beatgrid.operators.passes import matrix, summed
+from beatgrid.operators.passes import blocks, matrix, summed, unpacked
 from beatgrid.session import Scratch
 
 ROUNDS_PER_TABLE = 25
@@ -28,6 +28,12 @@ ROUNDS_PER_TABLE = 25
 THRESHOLD_ROWS = 10_000
 #: Weights enter sums in whole units of this size, so that sums do not depend on the order of rows.
 UNIT = 2.0**-24
+#: Whole numbers up to here are exact as doubles.
+WHOLE = 2.0**53
+#: Levels of up to so many nodes are read node by node, which takes whole columns.
+FEW_NODES = 4
+#: What a block holds: labels, bins by feature, numbers of equal rows and weights.
+BLOCK, KINDS = ("label", "bins", "n", "w"), (np.int32, np.uint8, np.int64, np.float64)
 
 
 @dataclass(frozen=True)
@@ -78,8 +84,16 @@ class Tree:
         node = np.zeros(len(bins), np.int64)
         rows = np.arange(len(bins))
         for level in range(levels):
-            inner = node + 2**level - 1
-            node = 2 * node + (bins[rows, self.feature[inner]] > self.last_left[inner])
+            first = 2**level - 1
+            if 2**level > FEW_NODES:
+                inner = node + first
+                node = 2 * node + (bins[rows, self.feature[inner]] > self.last_left[inner])
+                continue
+            right = np.zeros(len(bins), bool)
+            for own in range(2**level):
+                beyond = bins[:, self.feature[first + own]] > int(self.last_left[first + own])
+                right |= beyond & (node == own)
+            node = 2 * node + right
         return node
 
     def classes(self, bins: np.ndarray) -> np.ndarray:
@@ -165,7 +179,7 @@ class BoostedTrees:
 
 
 def _binned(train: DataFrame, bins: Bins) -> DataFrame:
-    """(label, bins, n) of equal rows, with weight 1."""
+    """Blocks of (label, bins, n) of equal rows, with weight 1."""
 
     def binned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -173,18 +187,33 @@ def _binned(train: DataFrame, bins: Bins) -> DataFrame:
                 found = [row.tobytes() for row in bins(matrix(batch.column("values")))]
                 yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(found)], names=["label", "bins"])
 
+    def arrays(batch: pa.RecordBatch) -> list[np.ndarray]:
+        own = np.frombuffer(b"".join(batch.column("bins").to_pylist()), np.uint8).reshape(batch.num_rows, -1)
+        return [batch.column("label").to_numpy(), own.T, batch.column("n").to_numpy(), np.ones(batch.num_rows)]
+
     rows = train.select(F.col("label").cast("int").alias("label"), vector_to_array("features").alias("values"))
     equal = rows.mapInArrow(binned, "label int, bins binary").groupBy("label", "bins").agg(F.count("*").alias("n"))
-    return equal.withColumn("w", F.lit(1.0))
+    return blocks(equal, BLOCK, arrays)
+
+
+def _weighted(
+    batches: Iterator[pa.RecordBatch], since: Sequence[Round]
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Labels, bins by row, counts and weights of each block after the rounds since the table was written."""
+    for label, flat, n, w in unpacked(batches, *KINDS):
+        bins = flat.reshape(-1, len(label)).T  # a feature's bins lie side by side
+        for one in since:
+            w = w * np.where(one.tree.classes(bins) == label, one.right, one.wrong)
+        yield label, bins, n, w
 
 
-def _weighted(batch: pa.RecordBatch, since: Sequence[Round]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Labels, bins and weights of a batch after the rounds since the table was written."""
-    label, w = batch.column("label").to_numpy(), batch.column("w").to_numpy()
-    bins = np.frombuffer(b"".join(batch.column("bins").to_pylist()), np.uint8).reshape(len(label), -1)
-    for one in since:
-        w = w * np.where(one.tree.classes(bins) == label, one.right, one.wrong)
-    return label, bins, w
+def _added(place: np.ndarray, units: np.ndarray, size: int) -> np.ndarray:
+    """Sums by place, as whole numbers; ``units`` are doubles where their sums are exact as such, which is faster."""
+    if units.dtype == np.float64:
+        return np.bincount(place, weights=units, minlength=size).astype(np.int64)
+    out = np.zeros(size, np.int64)
+    np.add.at(out, place, units)
+    return out
 
 
 def _sums(
@@ -192,30 +221,28 @@ def _sums(
 ) -> np.ndarray:
     """Units of weight by (node of a level, feature, bin, class)."""
     shape = (2**level, features, width, classes)
-    size = int(np.prod(shape))
 
     def work(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
-        out = np.zeros(size, np.int64)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            label, bins, w = _weighted(batch, since)
-            units = np.rint(w / UNIT).astype(np.int64) * batch.column("n").to_numpy()
-            node = tree.place(bins, level)
-            place = ((node[:, None] * features + np.arange(features)) * width + bins) * classes + label[:, None]
-            np.add.at(out, place.ravel(), np.repeat(units, features))
+        out = np.zeros(shape, np.int64)
+        for label, bins, n, w in _weighted(batches, since):
+            units = np.rint(w / UNIT).astype(np.int64) * n
+            if units.sum(dtype=np.float64) < WHOLE / 2:
+                units = units.astype(np.float64)
+            node = tree.place(bins, level) * (width * classes) + label
+            for feature in range(features):
+                place = np.multiply(bins[:, feature], classes, dtype=np.int64)
+                place += node
+                out[:, feature] += _added(place, units, 2**level * width * classes).reshape(-1, width, classes)
         return out
 
-    return summed(table, work, size, whole=True, tasks=tasks).reshape(shape)
+    return summed(table, work, int(np.prod(shape)), whole=True, tasks=tasks).reshape(shape)
 
 
 def _reweighted(table: DataFrame, since: Sequence[Round]) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                w = _weighted(batch, since)[2]
-                columns = [batch.column("label"), batch.column("bins"), batch.column("n"), pa.array(w)]
-                yield pa.RecordBatch.from_arrays(columns, names=["label", "bins", "n", "w"])
+        for label, bins, n, w in _weighted(batches, since):
+            found = [pa.array([part.tobytes()]) for part in (label, bins.T, n, w)]
+            yield pa.RecordBatch.from_arrays(found, names=list(BLOCK))
 
     return table.mapInArrow(work, table.schema)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 PASS_DIGITS = 12
 #: Tasks whose whole numbers the driver adds up itself; a pass then has one stage in place of two.
 FEW_TASKS = 32
+#: Rows stored as one: passes then read a few long values instead of many short ones.
+BLOCK_ROWS = 8_192
 
 
 def summed(
@@ -49,3 +51,24 @@ def summed(
 def matrix(column: pa.Array) -> np.ndarray:
     """Rows of lists of equal length as a matrix."""
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
+def blocks(
+    rows: DataFrame, names: Sequence[str], arrays: Callable[[pa.RecordBatch], Sequence[np.ndarray]]
+) -> DataFrame:
+    """All rows, up to ``BLOCK_ROWS`` of them in one: a binary column for each array that ``arrays`` makes of them."""
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, BLOCK_ROWS):
+                found = arrays(batch.slice(start, BLOCK_ROWS))
+                yield pa.RecordBatch.from_arrays([pa.array([a.tobytes()]) for a in found], names=list(names))
+
+    return rows.mapInArrow(packed, ", ".join(f"{name} binary" for name in names))
+
+
+def unpacked(batches: Iterator[pa.RecordBatch], *kinds: type) -> Iterator[list[np.ndarray]]:
+    """The arrays of each block, one of each kind; they are read where they lie."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            yield [np.frombuffer(column[row].as_buffer(), kind) for column, kind in zip(batch.columns, kinds)]

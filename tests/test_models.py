@@ -8,7 +8,7 @@ import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from beatgrid.operators import boosting, classifiers, components, exact_tree, folds, kernel_svm, network, singular
+from beatgrid.operators import boosting, classifiers, components, exact_tree, folds, kernel_svm, network, passes, singular
 from beatgrid.operators.bayes import fit_gaussian_bayes, fit_naive_bayes
 from beatgrid.operators.encode import fit_vocabulary
 from beatgrid.operators.forest import fit_forest_in_blocks
@@ -130,6 +130,27 @@ def test_boosting_equals_plain_rounds(spark, depth, rate):
     assert np.allclose(model.votes(x), votes, rtol=1e-3, atol=1e-2)
 
 
+def test_boosting_stores_all_rows_in_blocks(fit_rows, monkeypatch):
+    """Labels, bins and counts of every row come back, and a block holds many rows."""
+    bins = boosting.fit_bins(fit_rows, 10)
+    plain = [(int(r["label"]), bins(r["features"].toArray()[None, :])[0].tobytes()) for r in fit_rows.collect()]
+    table = boosting._binned(fit_rows.unionByName(fit_rows).coalesce(1), bins).cache()
+    found = []
+    for block in table.toArrow().to_batches():
+        for label, flat, n, w in passes.unpacked([block], *boosting.KINDS):
+            assert len(label) <= passes.BLOCK_ROWS and (w == 1).all()
+            found += [pair for *pair, m in zip(label, flat.reshape(-1, len(label)).T, n) for _ in range(m)]
+    assert sorted((int(a), b.tobytes()) for a, b in found) == sorted(plain * 2)
+    assert table.count() < len(set(plain)) / 2
+
+
+def test_boosting_sums_are_exact():
+    place = np.array([0, 1, 0])
+    large = np.array([2**60 + 1, 5, 2])
+    assert boosting._added(place, large, 3).tolist() == [2**60 + 3, 5, 0]
+    assert boosting._added(place, np.array([3.0, 5.0, 2.0]), 3).tolist() == [5, 5, 0]
+
+
 def test_boosting_is_the_same_on_any_layout(spark, fit_rows):
     one, two = (
         boosting.fit_boosted_trees(rows, CLASSES, rounds=40)
