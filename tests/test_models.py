@@ -426,6 +426,32 @@ def test_network_equals_plain_steps(spark, data):
         assert np.allclose(found, own, atol=1e-5)
 
 
+def test_network_stores_its_rows_in_blocks(data, monkeypatch):
+    """A full batch reads blocks, small ones too, and all rows are in them."""
+    read = []
+    summed = network.summed
+
+    def watched(rows, *settings):
+        read.append(rows)
+        assert sorted(rows.columns) == ["label", "x"] and rows.schema["x"].dataType.typeName() == "binary"
+        sums = summed(rows, *settings)
+        assert sums[-1] == 120
+        return sums
+
+    monkeypatch.setattr(network, "summed", watched)
+    network.fit_network(data[0], FEATURES, "label", "id", CLASSES, epochs=2)
+    assert len(read) == 2
+
+
+def test_network_slope_by_tiles(monkeypatch):
+    draw = np.random.default_rng(2)
+    x, label = draw.normal(size=(50, 4)), draw.integers(0, 3, 50)
+    layers = network.Layers.drawn(4, 5, 3, 1)
+    whole = layers.slope(x, label)
+    monkeypatch.setattr(network, "TILE", 7)
+    assert np.allclose(layers.slope(x, label), whole, atol=1e-12)
+
+
 def test_network_in_smaller_steps(data):
     network_ = network.fit_network(data[0], FEATURES, "label", "id", CLASSES, epochs=40, steps=3, rate=0.05)
     good(network_.predict_proba(data[1], "id", "label"))
