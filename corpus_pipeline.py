@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from beatgrid.llm import byte_bpe, line_dedup, mixing, ngram_join, toxicity
+from beatgrid.llm.batches import small_batches
 from beatgrid.session import Scratch, materialize, remove
 from beatgrid.sources.parquet import read_table
 
@@ -43,9 +44,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents' columns but the text, with ids, offsets and number of tokens."""
-    encoded = byte_bpe.encode(docs, RANKS)
-    return encoded.withColumn("n_tokens", F.size("ids").cast("bigint"))
+    """The documents' columns but the text, with ids, offsets and number of tokens, as a table."""
+    with small_batches(spark):
+        encoded = byte_bpe.encode(docs, RANKS)
+        return materialize(encoded.withColumn("n_tokens", F.size("ids").cast("bigint")), "byte_bpe")
 
 
 STAGES = [
@@ -67,5 +69,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             for path in scratch.paths[:-1]:
                 remove(spark, path)
             scratch.paths = scratch.paths[-1:]
-        name, stage = STAGES[-1]
-        return materialize(stage(spark, docs, sf_dir), name)
+        _, stage = STAGES[-1]  # which writes its own table
+        return stage(spark, docs, sf_dir)

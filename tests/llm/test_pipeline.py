@@ -12,6 +12,23 @@ from test_operators import SCHEMA, plain_mix
 
 import corpus_pipeline
 from beatgrid.llm import mixing
+from beatgrid.llm.batches import BATCH_SIZE
+
+
+def test_texts_are_encoded_in_small_batches(spark, monkeypatch):
+    """The last stage runs by itself, with the setting that its batches need, and leaves the caller's setting alone."""
+    before, seen = spark.conf.get(BATCH_SIZE), []
+    write = corpus_pipeline.materialize
+
+    def watched(df, name):
+        seen.append(spark.conf.get(BATCH_SIZE))
+        return write(df, name)
+
+    monkeypatch.setattr(corpus_pipeline, "materialize", watched)
+    docs = spark.createDataFrame([(1, "one two", "en", "a", 7), (2, None, "en", "a", None)], SCHEMA)
+    found = corpus_pipeline.encode_texts(spark, docs, "")
+    assert seen == ["4m"] and spark.conf.get(BATCH_SIZE) == before
+    assert [r["n_tokens"] for r in found.orderBy("doc_id").collect()] == [2, 0]
 
 
 def test_near_duplicates_between_both_contracts(spark):
