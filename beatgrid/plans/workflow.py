@@ -9,7 +9,7 @@ from beatgrid.operators.evaluate import score
 from beatgrid.operators.profile import fit_profile
 from beatgrid.operators.rows import split_by_year, with_split
 from beatgrid.plans.features import build_features
-from beatgrid.plans.matrices import KEY, LABEL, label_encoded_matrices, one_hot_matrices
+from beatgrid.plans.matrices import FORESTS, KEY, LABEL, label_encoded_matrices, one_hot_matrices
 from beatgrid.schemas import FEATURES, RAW_INCIDENTS
 from beatgrid.sources.delimited import read_csv, write_csv
 
@@ -50,7 +50,7 @@ def model_job(
 ) -> tuple[DataFrame, DataFrame]:
     """Fit a random forest; (class probabilities of the test rows, their log loss)."""
     build = {"label": label_encoded_matrices, "one_hot": one_hot_matrices}[encoding]
-    data = build(train, test).stored()
+    data = build(train, test).stored(FORESTS)
     model = random_forest(trees, depth).fit(training_rows(data.train, data.features, LABEL, data.classes))
     probabilities = predict_proba(model, data.test, data.features, data.classes, KEY, LABEL)
     return probabilities, score(probabilities, LABEL)

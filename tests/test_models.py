@@ -13,7 +13,7 @@ from beatgrid.operators.bayes import fit_gaussian_bayes, fit_naive_bayes
 from beatgrid.operators.encode import fit_vocabulary
 from beatgrid.operators.forest import fit_forest_in_blocks
 from beatgrid.operators.evaluate import log_loss, long_form, score, true_probability
-from beatgrid.plans import matrices
+from beatgrid.plans import matrices, queries
 
 FEATURES = ["x", "y"]
 CLASSES = ["blue", "green", "red"]
@@ -369,6 +369,32 @@ def test_stored_rows_lie_in_the_same_tasks_on_any_layout(spark, data):
         before = found
 
 
+def test_forests_get_few_and_large_tasks(spark):
+    """Small tables lie as before; beyond that a forest's statistics are not made and sent by 64 tasks."""
+    for n, few, many in ((3_500, 4, 4), (20_000, 12, 20)):
+        rows = spark.range(n).select(F.col("id").alias(matrices.KEY), F.lit("red").alias(matrices.LABEL))
+        data = matrices.Matrices(rows, rows.limit(5), [], ["red"])
+        for layout, tasks in ((matrices.FORESTS, few), (matrices.PASSES, many)):
+            train = data.stored(layout).train
+            assert train.rdd.getNumPartitions() == tasks and train.distinct().count() == n
+
+
+@pytest.mark.parametrize(
+    "name", ["rf_proba"]
+)
+def test_forest_queries_deal_their_rows_for_a_forest(spark, folder, monkeypatch, name):
+    class Dealt(Exception):
+        pass
+
+    def stored(df, name, layout=None):
+        raise Dealt(layout)
+
+    monkeypatch.setattr(matrices, "_stored", stored)
+    with pytest.raises(Dealt) as dealt:
+        queries.QUERIES[name](spark, folder)
+    assert dealt.value.args == (matrices.FORESTS,)
+
+
 def test_the_established_settings_are_the_defaults():
     assert fit_forest_in_blocks.__defaults__[:2] == (700, 13)
     assert boosting.fit_boosted_trees.__defaults__[:3] == (600, 2, 1.5)
