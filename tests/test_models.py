@@ -380,7 +380,7 @@ def test_forests_get_few_and_large_tasks(spark):
 
 
 @pytest.mark.parametrize(
-    "name", ["rf_proba", "grid_search", "holdout_logloss", "pca_forest", "rf_proba_one_hot"]
+    "name", ["rf_proba", "grid_search", "holdout_logloss", "pca_forest", "rf_proba_one_hot", "rf_proba_log2"]
 )
 def test_forest_queries_deal_their_rows_for_a_forest(spark, folder, monkeypatch, name):
     class Dealt(Exception):
