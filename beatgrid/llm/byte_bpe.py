@@ -38,7 +38,7 @@ WHITE_SPACE = [
 #: The contractions after an apostrophe.
 ONE_LETTER, TWO_LETTERS = "stmd", ("re", "ve", "ll")
 
-CHUNK = 1_000_000
+CHUNK = 250_000
 WINDOW = 4_000_000
 CACHE = 200_000
 SHORT_PIECE = 24

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from beatgrid.llm import byte_bpe, line_dedup, mixing, ngram_join, toxicity
-from beatgrid.llm.batches import small_batches
+from beatgrid.llm.batches import small_batches, small_groups
 from beatgrid.session import Scratch, materialize, remove
 from beatgrid.sources.parquet import read_table
 
@@ -45,7 +45,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' columns but the text, with ids, offsets and number of tokens, as a table."""
-    with small_batches(spark):
+    with small_batches(spark), small_groups(spark):
         encoded = byte_bpe.encode(docs, RANKS)
         return materialize(encoded.withColumn("n_tokens", F.size("ids").cast("bigint")), "byte_bpe")
 

@@ -6,13 +6,14 @@ import base64
 import random
 
 import public_tokenizers
+import pyarrow.parquet as pq
 import tiktoken
 from brute import jaccard, line_dedup, linked, sha, shingles, targets, words
 from test_operators import SCHEMA, plain_mix
 
 import corpus_pipeline
 from beatgrid.llm import mixing
-from beatgrid.llm.batches import BATCH_SIZE
+from beatgrid.llm.batches import BATCH_SIZE, GROUP_SIZE
 
 
 def test_texts_are_encoded_in_small_batches(spark, monkeypatch):
@@ -31,6 +32,20 @@ def test_texts_are_encoded_in_small_batches(spark, monkeypatch):
     assert [r["n_tokens"] for r in found.orderBy("doc_id").collect()] == [2, 0]
 
 
+def test_encoded_texts_lie_in_small_row_groups(spark):
+    """A task that writes or rereads the ids holds a row group of a few MB, not all that it encodes."""
+    draw = random.Random(5)
+    texts = ["".join(draw.choices("abcdefghij 0123456789", k=20_000)) for _ in range(400)]
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in enumerate(texts)], SCHEMA).coalesce(1)
+    found = corpus_pipeline.encode_texts(spark, docs, "")
+    groups = []
+    for path in found.inputFiles():
+        parts = pq.ParquetFile(path.removeprefix("file://")).metadata
+        groups += [parts.row_group(i).total_byte_size for i in range(parts.num_row_groups)]
+    assert len(groups) > 1 and max(groups) < 12 << 20
+    assert spark.conf.get(GROUP_SIZE, None) is None and found.count() == len(texts)
+
+
 def test_near_duplicates_between_both_contracts(spark):
     """100 words with the last 9 replaced: 0.81 or more by five words, below 0.85 by four."""
     base = [f"w{i}" for i in range(100)]
