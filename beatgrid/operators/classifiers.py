@@ -8,7 +8,10 @@ the classes from 0 in ascending order of their names. ``predict_proba`` returns
 from __future__ import annotations
 
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
+import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml import Model
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -114,21 +117,37 @@ def feature_importance(spark: SparkSession, model: Model, features: Sequence[str
     return spark.createDataFrame(rows, "rank int, feature string, importance double")
 
 
+def _folds(train: DataFrame, folds: int, seed: int) -> list[tuple[DataFrame, DataFrame]]:
+    """Rows to fit on and rows to score for each fold of a column ``fold``, or of random ones without it."""
+    if "fold" in train.columns:
+        named = F.col("fold")
+        known = F.when(named.between(0, folds - 1), named).otherwise(F.raise_error(F.lit(f"a row is in none of {folds} folds")))
+        parts = [known == fold for fold in range(folds)]
+        return [(train.where(~part), train.where(part)) for part in parts]
+    drawn = train.select("*", F.rand(seed).alias("drawn"))
+    parts = [(F.col("drawn") >= fold / folds) & (F.col("drawn") < (fold + 1) / folds) for fold in range(folds)]
+    return [(drawn.where(~part), drawn.where(part)) for part in parts]
+
+
 def cross_validate(
-    train: DataFrame, estimator, folds: int = 4, seed: int = 10, metric: str = "accuracy", parallelism: int = 4
+    train: DataFrame, estimator, folds: int = 4, seed: int = 10, metric: str = "accuracy", parallelism: int = 2
 ) -> DataFrame:
-    """(folds, metric, mean_score, std_score) over the folds of a column ``fold``, or random ones without it."""
-    validator = CrossValidator(
-        estimator=estimator,
-        estimatorParamMaps=ParamGridBuilder().build(),
-        evaluator=MulticlassClassificationEvaluator(metricName=metric),
-        numFolds=folds,
-        foldCol="fold" if "fold" in train.columns else "",
-        seed=seed,
-        parallelism=parallelism,
-    )
-    fitted = validator.fit(train)
-    row = (folds, metric, float(fitted.avgMetrics[0]), float(fitted.stdMetrics[0]))
+    """(folds, metric, mean_score, std_score) over the folds of a column ``fold``, or random ones without it.
+
+    Each fold's model is fitted once, ``parallelism`` of them at a time; none is fitted to all rows, as only the scores
+    are asked for. Rows are left to the estimator to keep, which holds them in its own form.
+    """
+    evaluator = MulticlassClassificationEvaluator(metricName=metric)
+
+    def score(part: tuple[DataFrame, DataFrame]) -> float:
+        fit_on, rest = part
+        if "fold" in train.columns and (fit_on.isEmpty() or rest.isEmpty()):
+            raise ValueError("a fold, or what is left without it, is empty")
+        return evaluator.evaluate(estimator.fit(fit_on).transform(rest))
+
+    with ThreadPool(max(1, min(parallelism, folds))) as pool:
+        scores = pool.map(inheritable_thread_target(train.sparkSession)(score), _folds(train, folds, seed), chunksize=1)
+    row = (folds, metric, float(np.mean(scores)), float(np.std(scores)))
     return train.sparkSession.createDataFrame([row], "folds int, metric string, mean_score double, std_score double")
 
 

@@ -481,3 +481,36 @@ def test_network_slope_by_tiles(monkeypatch):
 def test_network_in_smaller_steps(data):
     network_ = network.fit_network(data[0], FEATURES, "label", "id", CLASSES, epochs=40, steps=3, rate=0.05)
     good(network_.predict_proba(data[1], "id", "label"))
+
+
+class _Counted:
+    """An estimator that counts the fits of another."""
+
+    def __init__(self, estimator):
+        self.estimator, self.fits = estimator, []
+
+    def fit(self, rows):
+        self.fits.append(rows.count())
+        return self.estimator.fit(rows)
+
+
+def test_cross_validation_fits_each_fold_once(spark, fit_rows):
+    """The scores are those of Spark's validator, whose further fit to all rows is not made."""
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+
+    rows = fit_rows.withColumn("fold", (F.monotonically_increasing_id() % 4).cast("int")).localCheckpoint()
+    tree = classifiers.decision_tree(depth=2, features="all")
+    expected = CrossValidator(
+        estimator=tree,
+        estimatorParamMaps=ParamGridBuilder().build(),
+        evaluator=MulticlassClassificationEvaluator(metricName="accuracy"),
+        numFolds=4,
+        foldCol="fold",
+    ).fit(rows)
+    counted = _Counted(tree)
+    found = classifiers.cross_validate(rows, counted).first()
+    assert len(counted.fits) == 4 and sum(counted.fits) == 3 * rows.count()
+    assert (found["mean_score"], found["std_score"]) == pytest.approx((expected.avgMetrics[0], expected.stdMetrics[0]), abs=1e-12)
+    with pytest.raises(Exception, match="in none of 2 folds"):
+        classifiers.cross_validate(rows, tree, folds=2)
