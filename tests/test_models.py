@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import threading
 
 import numpy as np
 import pytest
@@ -9,6 +10,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from beatgrid.operators import boosting, classifiers, components, exact_tree, folds, kernel_svm, network, passes, singular
+from beatgrid.operators import forest as forests
 from beatgrid.operators.bayes import fit_gaussian_bayes, fit_naive_bayes
 from beatgrid.operators.encode import fit_vocabulary
 from beatgrid.operators.forest import fit_forest_in_blocks
@@ -379,6 +381,50 @@ def test_forests_get_few_and_large_tasks(spark):
             assert train.rdd.getNumPartitions() == tasks and train.distinct().count() == n
 
 
+def test_blocks_are_fitted_together(fit_rows, tmp_path, monkeypatch):
+    """Two fits wait for each other; a driver with little memory fits one block at a time."""
+    both = threading.Barrier(2, timeout=60)
+    plain = forests.random_forest
+
+    class Meeting:
+        def __init__(self, *settings):
+            self.forest = plain(*settings)
+
+        def fit(self, rows):
+            both.wait()
+            return self.forest.fit(rows)
+
+    monkeypatch.setattr(forests, "random_forest", Meeting)
+    monkeypatch.setattr(forests, "BLOCK_BYTES", 1, raising=False)
+    found = fit_forest_in_blocks(fit_rows, trees=8, depth=2, block=2, folder=str(tmp_path / "forest"))
+    assert [n for _, n in found.blocks] == [2, 2, 2, 2] and len({path for path, _ in found.blocks}) == 4
+    monkeypatch.setattr(forests, "BLOCK_BYTES", 2**62)
+    assert forests._at_once(fit_rows.sparkSession) == 1
+
+
+def test_blocks_get_fewer_tasks_of_many_rows(spark, monkeypatch):
+    monkeypatch.setattr(matrices, "DEEP_ROWS", 4_000)
+    for n, stored, tasks in ((3_500, 4, 4), (21_000, 12, 6), (49_000, 12, 12)):
+        rows = spark.range(n).select(F.col("id").alias(matrices.KEY), F.lit("red").alias(matrices.LABEL))
+        data = matrices.Matrices(rows, rows.limit(5), [], ["red"]).stored(matrices.FORESTS)
+        train = data.for_blocks().train
+        assert (data.train.rdd.getNumPartitions(), train.rdd.getNumPartitions()) == (stored, tasks)
+        assert train.distinct().count() == n
+
+
+@pytest.mark.parametrize("name", ["holdout_logloss"])
+def test_forests_in_blocks_deal_their_rows_for_blocks(spark, folder, monkeypatch, name):
+    class Dealt(Exception):
+        pass
+
+    def dealt(data):
+        raise Dealt
+
+    monkeypatch.setattr(matrices.Matrices, "for_blocks", dealt, raising=False)
+    with pytest.raises(Dealt):
+        queries.QUERIES[name](spark, folder)
+
+
 @pytest.mark.parametrize(
     "name", ["rf_proba", "grid_search", "holdout_logloss", "pca_forest", "rf_proba_one_hot", "rf_proba_log2"]
 )
