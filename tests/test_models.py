@@ -412,7 +412,7 @@ def test_blocks_get_fewer_tasks_of_many_rows(spark, monkeypatch):
         assert train.distinct().count() == n
 
 
-@pytest.mark.parametrize("name", ["rf_proba", "holdout_logloss"])
+@pytest.mark.parametrize("name", ["rf_proba", "holdout_logloss", "rf_proba_one_hot"])
 def test_forests_in_blocks_deal_their_rows_for_blocks(spark, folder, monkeypatch, name):
     class Dealt(Exception):
         pass
