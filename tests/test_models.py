@@ -560,3 +560,30 @@ def test_cross_validation_fits_each_fold_once(spark, fit_rows):
     assert (found["mean_score"], found["std_score"]) == pytest.approx((expected.avgMetrics[0], expected.stdMetrics[0]), abs=1e-12)
     with pytest.raises(Exception, match="in none of 2 folds"):
         classifiers.cross_validate(rows, tree, folds=2)
+
+
+def test_grid_search_fits_each_setting_once_to_each_fold(fit_rows, monkeypatch):
+    """The scores are those of Spark's validator, whose further fit to all rows is not made."""
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+
+    rows = fit_rows.withColumn("fold", (F.monotonically_increasing_id() % 3).cast("int")).localCheckpoint()
+    forest = classifiers.random_forest(features="log2")
+    grid = ParamGridBuilder().addGrid(forest.maxDepth, [1, 3]).addGrid(forest.numTrees, [2]).addGrid(forest.minInstancesPerNode, [1, 30])
+    judge = MulticlassClassificationEvaluator(metricName="accuracy")
+    expected = CrossValidator(
+        estimator=forest, estimatorParamMaps=grid.build(), evaluator=judge, numFolds=3, foldCol="fold"
+    ).fit(rows)
+    fits, plain = [], RandomForestClassifier._fit
+
+    def counted(own, data):
+        fits.append((data.count(), own.getCacheNodeIds()))
+        return plain(own, data)
+
+    monkeypatch.setattr(RandomForestClassifier, "_fit", counted)
+    found = classifiers.grid_search(rows, depths=(1, 3), trees=(2,), leaves=(1, 30)).collect()
+    assert len(fits) == 12 and sum(n for n, _ in fits) == 8 * rows.count() and not any(kept for _, kept in fits)
+    assert [r["accuracy"] for r in found] == pytest.approx(expected.avgMetrics, abs=1e-12)
+    with pytest.raises(Exception, match="in none of 2 folds"):
+        classifiers.grid_search(rows, (1,), (2,), (1,), folds=2)
